@@ -9,26 +9,28 @@ is returned, and a bracket that missed its rank stops the query instead of givin
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.functions.running import running_totals
 
 # Rank error of the sketch is n / SKETCH_ACCURACY; brackets are twice that wide on each side.
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 20_000
 # Groups up to this size are ranked whole: their brackets would be a handful of rows wide.
-WHOLE_GROUP_ROWS = 20_000
+WHOLE_GROUP_ROWS = 40_000
+# With more brackets than this, each one is ranked in a task of its own.
+SHARED_BRACKETS = 3
 
 
 @dataclass(frozen=True)
 class Rank:
-    """A zero-based rank, as a function of the group size, near fraction ``near`` of the group."""
+    """A zero-based rank, as SQL over the group size ``n``, near fraction ``near`` of the group."""
 
     near: float
-    position: Callable[[Column], Column]
+    position: str
 
 
 def values_at_ranks(
@@ -43,60 +45,64 @@ def values_at_ranks(
     nears = sorted({rank.near for rank in ranks.values()})
     margin = 2.0 / SKETCH_ACCURACY
     probes = [p for near in nears for p in (max(0.0, near - margin), min(1.0, near + margin))]
-    rows = frame.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
+    rows = frame.select(*keys, F.col(value).alias("_value")).where("_value is not null")
+
+    def edge(probe: float, index: int) -> str:
+        if probe <= 0:
+            return "_min"
+        if probe >= 1:
+            return "_max"
+        return f"_edge[{index}]"
+
+    low = [edge(p, 2 * i) for i, p in enumerate(probes[0::2])]
+    high = [edge(p, 2 * i + 1) for i, p in enumerate(probes[1::2])]
     bounds = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min("_value").alias("_min"),
-        F.max("_value").alias("_max"),
+        F.expr("count(*) as n"),
+        F.expr("min(_value) as _min"),
+        F.expr("max(_value) as _max"),
         F.percentile_approx("_value", probes, SKETCH_ACCURACY).alias("_edge"),
     )
-    whole = F.col("n") <= WHOLE_GROUP_ROWS
-    low = F.array(*[
-        F.when(whole | F.lit(near - margin <= 0), F.col("_min")).otherwise(F.col("_edge")[2 * i])
-        for i, near in enumerate(nears)
-    ])
-    high = F.array(*[
-        F.when(whole | F.lit(near + margin >= 1), F.col("_max")).otherwise(F.col("_edge")[2 * i + 1])
-        for i, near in enumerate(nears)
-    ])
-    bounds = bounds.select(*keys, "n", low.alias("_low"), high.alias("_high"))
+    whole = f"n <= {WHOLE_GROUP_ROWS}"
+    columns = [
+        f"transform(array({', '.join(low)}), e -> if({whole}, _min, e)) as _low",
+        f"transform(array({', '.join(high)}), e -> if({whole}, _max, e)) as _high",
+    ]
     if keys:
-        placed = rows.join(bounds, keys)
+        placed = rows.join(bounds.selectExpr(*map(_quoted, keys), "n", *columns), keys)
     else:
-        one = bounds.select(F.struct("n", "_low", "_high")).scalar()
-        placed = rows.withColumn("_b", one).select("_value", "_b.*")
+        one = bounds.selectExpr("n", *columns).select(F.struct("n", "_low", "_high")).scalar()
+        placed = rows.withColumn("_b", one).selectExpr("_value", "_b.n", "_b._low", "_b._high")
 
-    entered = sum((F.col("_value") >= F.col("_low")[i]).cast("int") for i in range(len(nears)))
-    left = sum((F.col("_value") > F.col("_high")[i]).cast("int") for i in range(len(nears)))
+    entered = " + ".join(f"int(_value >= _low[{i}])" for i in range(len(nears)))
+    left = " + ".join(f"int(_value > _high[{i}])" for i in range(len(nears)))
     cells = (
-        placed.select(*keys, "n", "_value", entered.alias("_in"), left.alias("_out"))
-        .select(
+        placed.selectExpr(*map(_quoted, keys), "n", "_value", f"{entered} as _in", f"{left} as _out")
+        .groupBy(
             *keys,
             "n",
-            (F.col("_in") + F.col("_out")).alias("_segment"),
-            F.when(F.col("_in") > F.col("_out"), F.col("_value")).alias("_cell"),
+            F.expr("_in + _out").alias("_segment"),
+            F.expr("if(_in > _out, _value, null)").alias("_cell"),
         )
-        .groupBy(*keys, "n", "_segment", "_cell")
-        .agg(F.count("*").alias("_count"))
+        .agg(F.expr("count(*) as _count"))
     )
-    ranked = running_totals(cells, keys, ["_cell"], {"_upto": F.col("_count")}, F.col("_segment"))
+    if len(nears) > SHARED_BRACKETS:
+        ranked = running_totals(cells, keys, ["_cell"], {"_upto": F.col("_count")}, F.col("_segment"))
+    else:
+        ordered = Window.partitionBy(*keys).orderBy("_segment", "_cell")
+        upto = F.sum("_count").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+        ranked = cells.withColumn("_upto", upto)
 
     def pick(name: str, rank: Rank) -> Column:
-        wanted = rank.position(F.col("n"))
-        hit = (wanted < F.col("_upto")) & (wanted >= F.col("_upto") - F.col("_count"))
-        missed = F.raise_error(F.lit(f"rank bracket missed {name}"))
-        return F.max(F.when(hit, F.coalesce("_cell", missed))).alias(name)
+        hit = f"{rank.position} < _upto and {rank.position} >= _upto - _count"
+        found = f"coalesce(_cell, raise_error('rank bracket missed {name}'))"
+        return F.expr(f"max(if({hit}, {found}, null)) as `{name}`")
 
     picks = [pick(name, rank) for name, rank in ranks.items()]
     return ranked.groupBy(*keys, "n").agg(*picks).select(*keys, "n", *ranks)
 
 
-def _floor_rank(p: float) -> Rank:
-    return Rank(p, lambda n: F.floor((n - 1) * F.lit(p)))
-
-
-def _ceil_rank(p: float) -> Rank:
-    return Rank(p, lambda n: F.ceil((n - 1) * F.lit(p)))
+def _quoted(name: str) -> str:
+    return f"`{name}`"
 
 
 def exact_percentiles(
@@ -104,21 +110,17 @@ def exact_percentiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, as ``n`` and one double per named point."""
     ranks: dict[str, Rank] = {}
+    results = []
     for name, p in points.items():
-        ranks[f"_lo_{name}"] = _floor_rank(p)
-        ranks[f"_hi_{name}"] = _ceil_rank(p)
-    found = values_at_ranks(frame, keys, value, ranks)
-
-    def between(name: str, p: float) -> Column:
-        position = (F.col("n") - 1) * F.lit(p)
-        share = position - F.floor(position)
-        low = F.col(f"_lo_{name}").cast("double")
-        high = F.col(f"_hi_{name}").cast("double")
+        position = f"((n - 1) * {p!r}D)"
+        ranks[f"_lo_{name}"] = Rank(p, f"floor({position})")
+        ranks[f"_hi_{name}"] = Rank(p, f"ceil({position})")
+        low, high = f"double(`_lo_{name}`)", f"double(`_hi_{name}`)"
+        share = f"({position} - floor({position}))"
         # Anchor on the nearer end, so equal neighbours give exactly that value.
-        return (
-            F.when(share >= 0.5, high - (high - low) * (1 - share))
-            .otherwise(low + (high - low) * share)
-            .alias(name)
+        results.append(
+            f"if({share} >= 0.5D, {high} - ({high} - {low}) * (1 - {share}), "
+            f"{low} + ({high} - {low}) * {share}) as `{name}`"
         )
-
-    return found.select(*keys, "n", *[between(name, p) for name, p in points.items()])
+    found = values_at_ranks(frame, keys, value, ranks)
+    return found.selectExpr(*map(_quoted, keys), "n", *results)

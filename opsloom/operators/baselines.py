@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.functions.ranks import exact_percentiles
+from opsloom.functions.staging import materialize
 from opsloom.operators.joins import join_with_fallback, lookup_shifted
 from opsloom.operators.metrics import (
     forecast_metrics,
@@ -35,22 +36,45 @@ def median_of(frame: DataFrame, value: str, keys: Sequence[str] = (), out: str =
     return exact_percentiles(frame, keys, value, {out: 0.5}).drop("n")
 
 
+def baseline_medians(train: DataFrame, label: str = "wait_minutes") -> DataFrame:
+    """Medians of all baselines in one job: ``model``, its group columns and ``median``.
+
+    Every row takes part once per baseline; columns a baseline does not group by are blank.
+    """
+    columns = MEDIAN_BASELINES["department_weekday_hour_median"]
+
+    def key(groups: Sequence[str], c: str) -> str:
+        return f"string({c})" if c in groups else "''"
+
+    levels = ", ".join(
+        f"struct('{name}' as model, {', '.join(f'{key(groups, c)} as _{c}' for c in columns)})"
+        for name, groups in MEDIAN_BASELINES.items()
+    )
+    long = train.selectExpr(label, f"inline(array({levels}))")
+    keys = ["model", *[f"_{c}" for c in columns]]
+    return median_of(long, label, keys)
+
+
 def median_baselines(train: DataFrame, test: DataFrame, label: str = "wait_minutes") -> DataFrame:
     """Test rows with one prediction column per median baseline.
 
-    The group medians come from training rows only; a group unseen in training takes the global
-    median, a scalar.
+    The medians come from training rows only and are written once, a row per group; a group
+    unseen in training takes the global median.
     """
-    fallback = median_of(train, label).scalar()
-    predicted = test.withColumn("global_median", fallback)
+    medians = materialize(baseline_medians(train, label), "baseline-medians")
+    predicted = test
+    fallback = F.lit(None).cast("double")
     for name, groups in MEDIAN_BASELINES.items():
-        if groups:
-            predicted = join_with_fallback(
-                predicted,
-                median_of(train, label, groups, name),
-                groups,
-                {name: F.col("global_median")},
-            )
+        level = medians.where(F.col("model") == name)
+        if not groups:
+            predicted = predicted.withColumn(name, level.select("median").scalar())
+            fallback = F.col(name)
+            continue
+        kinds = {c: test.schema[c].dataType for c in groups}
+        found = level.select(
+            *[F.col(f"_{c}").cast(kinds[c]).alias(c) for c in groups], F.col("median").alias(name)
+        )
+        predicted = join_with_fallback(predicted, found, groups, {name: fallback})
     return predicted
 
 
@@ -60,7 +84,8 @@ def waiting_baseline_report(
     """Regression metrics of the median baselines: ``(model, metric, value)``."""
     predicted = median_baselines(train, test, label)
     long = pivot_models(predicted, {m: m for m in MEDIAN_BASELINES}, label)
-    return regression_metrics(long, label, "prediction", ["model"])
+    # Scored several times over, so the predictions are written once.
+    return regression_metrics(materialize(long, "median-predictions"), label, "prediction", ["model"])
 
 
 def last_observed(

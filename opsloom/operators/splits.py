@@ -63,25 +63,15 @@ def split_points(
     if train_fraction <= 0 or validation_fraction <= 0 or train_fraction + validation_fraction >= 1:
         raise ValueError("split fractions must be positive and total less than one")
     both = train_fraction + validation_fraction
-
-    def whole(n: Column, fraction: float) -> Column:
-        return F.floor(n.cast("double") * F.lit(fraction))
-
-    def train_index(n: Column) -> Column:
-        return F.greatest(F.lit(1), whole(n, train_fraction)) - 1
-
-    def validation_index(n: Column) -> Column:
-        return F.least(F.greatest(train_index(n) + 1, whole(n, both)), n - 2)
-
+    # Fractions stay binary doubles: a decimal literal would round positions differently.
+    train = f"(greatest(1, floor(double(n) * {train_fraction!r}D)) - 1)"
+    validation = f"least(greatest({train} + 1, floor(double(n) * {both!r}D)), n - 2)"
     times = frame.select(micros(time_column).alias("_t")).distinct()
     return values_at_ranks(
         times,
         [],
         "_t",
-        {
-            "train_end": Rank(train_fraction, train_index),
-            "validation_end": Rank(both, validation_index),
-        },
+        {"train_end": Rank(train_fraction, train), "validation_end": Rank(both, validation)},
     )
 
 
@@ -205,7 +195,7 @@ def first_rows(frame: DataFrame, value: Column, tie: str, share: Callable[[int],
 
 def _at(rows: DataFrame, column: str, index: int, n: int) -> float | int:
     near = index / max(n - 1, 1)
-    return values_at_ranks(rows, [], column, {"at": Rank(near, lambda _: F.lit(index))}).first().at
+    return values_at_ranks(rows, [], column, {"at": Rank(near, str(index))}).first().at
 
 
 def fraction_split(frame: DataFrame, time_column: str, tie: str, fraction: float = 0.7) -> DataFrame:
@@ -221,9 +211,7 @@ def capacity(n: int, fraction: float) -> int:
 def capacity_threshold(scores: DataFrame, probability: str, fraction: float) -> DataFrame:
     """One row: the ``max(1, int(n * fraction))``-th largest probability."""
 
-    def from_below(n: Column) -> Column:
-        return n - F.greatest(F.lit(1), F.floor(n.cast("double") * F.lit(float(fraction))))
-
+    from_below = f"n - greatest(1, floor(double(n) * {float(fraction)!r}D))"
     found = values_at_ranks(scores, [], probability, {"threshold": Rank(1 - fraction, from_below)})
     return found.select("threshold")
 
