@@ -63,12 +63,14 @@ def _psi_sql() -> str:
     binned AS (SELECT l.feature, is_new, len(list_filter(e[2:len(e) - 1], lambda x: x <= value)) AS bin
                FROM long_rows l JOIN edges USING (feature)),
     slots AS (SELECT feature, unnest(range(0, len(e) - 1)) AS bin FROM edges),
-    shares AS (SELECT s.feature, s.bin,
-                 greatest(coalesce(count(*) FILTER (WHERE is_new = 0), 0)
-                   / (SELECT count(*) FROM long_rows x WHERE x.feature = s.feature AND is_new = 0), 1e-6) AS old_share,
-                 greatest(coalesce(count(*) FILTER (WHERE is_new = 1), 0)
-                   / (SELECT count(*) FROM long_rows x WHERE x.feature = s.feature AND is_new = 1), 1e-6) AS new_share
-               FROM slots s LEFT JOIN binned b ON b.feature = s.feature AND b.bin = s.bin GROUP BY ALL),
+    totals AS (SELECT feature, count(*) FILTER (WHERE is_new = 0) AS old_n, count(*) FILTER (WHERE is_new = 1) AS new_n
+               FROM long_rows GROUP BY feature),
+    shares AS (SELECT feature, bin, greatest(old_count / old_n, 1e-6) AS old_share,
+                      greatest(new_count / new_n, 1e-6) AS new_share
+               FROM (SELECT s.feature, s.bin, count(*) FILTER (WHERE is_new = 0) AS old_count,
+                            count(*) FILTER (WHERE is_new = 1) AS new_count
+                     FROM slots s LEFT JOIN binned b ON b.feature = s.feature AND b.bin = s.bin
+                     GROUP BY s.feature, s.bin) JOIN totals USING (feature)),
     numeric_scores AS (SELECT feature, sum((new_share - old_share) * ln(new_share / old_share)) AS score
                        FROM shares GROUP BY feature)"""
 

@@ -153,7 +153,8 @@ def recursive_forecast(
             steps.alias("steps"),
         )
         names = [*features, *constants, "point"]
-        if step % write_every == 0 and step < horizon:
+        # Also after the last step: unnesting would otherwise push its filter through all steps.
+        if step % write_every == 0 or step == horizon:
             state = materialize(state, "forecast-state")
     long = state.select(*groups, *carried, F.inline("steps")).select(*groups, *carried, *names)
     bounded = model.interval(long)
