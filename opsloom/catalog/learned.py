@@ -1 +1,106 @@
+"""Queries over learned models. Their numbers depend on the learner, so only rows are checked."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from opsloom.catalog.evaluation import scored_events
+from opsloom.catalog.features import hospital_tables, wait_rows
+from opsloom.catalog.registry import query, rounded
+from opsloom.catalog.targets import arrivals, occupancy
+from opsloom.functions.staging import materialize
+from opsloom.operators.features import arrival_features
+from opsloom.operators.forecast import ARRIVAL_FEATURES, fit_series_model, forecast_arrivals
+from opsloom.operators.metrics import interval_coverage
+from opsloom.operators.models import (
+    TrainingSettings,
+    apply_sigmoid,
+    encode,
+    fit_encoder,
+    fit_leaf_intervals,
+    fit_sigmoid,
+    log_odds,
+)
+from opsloom.operators.splits import temporal_split
+from opsloom.plans.training import (
+    WAIT_FEATURES,
+    backtest_arrivals,
+    backtest_occupancy,
+    train_no_show,
+    train_wait_time,
+)
+
+# Small models keep the check short; they read all rows.
+SMALL = TrainingSettings(trees=10, boosting_rounds=8)
+
+
+@query("train_wait_time")
+def wait_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The events hold no relation between a visit's features and its wait, so the gate is off.
+    run = train_wait_time(
+        hospital_tables(spark, sf_dir), SMALL, require_gain=False, verify=False, verify_keys=False
+    )
+    return rounded(run.report)
+
+
+@query("wait_time_importance")
+def wait_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = train_wait_time(
+        hospital_tables(spark, sf_dir), SMALL, require_gain=False, verify=False, verify_keys=False
+    )
+    return rounded(run.importance)
+
+
+@query("leaf_intervals")
+def leaf_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test coverage of the 10 % to 90 % intervals."""
+    parts = temporal_split(materialize(wait_rows(spark, sf_dir), "wait-features"), "queue_entered_at")
+    encoder = fit_encoder(parts.development, WAIT_FEATURES)
+    intervals = fit_leaf_intervals(encode(encoder, parts.development), "wait_minutes", SMALL)
+    bounded = intervals.add(encode(encoder, parts.test))
+    return rounded(interval_coverage(bounded, "wait_minutes", "lower", "upper", ["department_id"]))
+
+
+@query("train_no_show")
+def no_show_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = train_no_show(
+        hospital_tables(spark, sf_dir),
+        SMALL,
+        capacity_fraction=0.2,
+        effectiveness=0.25,
+        maximum_ece=0.35,
+        verify=False,
+        verify_keys=False,
+    )
+    return rounded(run.report)
+
+
+@query("calibrated_scores")
+def calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Platt scaling of a closed-form score over all events."""
+    margin = scored_events(spark, sf_dir).withColumn("margin", log_odds("p"))
+    model = fit_sigmoid(margin, "margin", "actual")
+    return rounded(
+        apply_sigmoid(margin, model, "margin", "calibrated").select("event_id", "actual", "p", "calibrated")
+    )
+
+
+@query("train_arrivals")
+def arrival_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A learned arrival model's 24-hour forecast, departments and hospital."""
+    target = materialize(arrivals(spark, sf_dir), "arrivals")
+    features = materialize(arrival_features(target), "arrival-features")
+    model = fit_series_model(features, ARRIVAL_FEATURES, "arrivals", SMALL)
+    return rounded(forecast_arrivals(target, model, 24))
+
+
+@query("backtest_arrivals")
+def arrival_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = materialize(arrivals(spark, sf_dir), "arrivals")
+    return rounded(backtest_arrivals(target, SMALL, windows=2))
+
+
+@query("backtest_occupancy")
+def occupancy_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = materialize(occupancy(spark, sf_dir), "occupancy")
+    return rounded(backtest_occupancy(target, SMALL, alert_threshold=0.5, windows=2))

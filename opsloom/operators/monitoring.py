@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from opsloom.errors import DataQualityError
 from opsloom.functions.ranks import exact_percentiles
+from opsloom.functions.staging import materialize
 from opsloom.operators.profile import duplicate_rows
 
 MISSING = "<missing>"
@@ -75,6 +76,8 @@ def numeric_drift(
     edges = exact_percentiles(before, ["feature"], "value", points).select(
         "feature", F.array_sort(F.array_distinct(F.array(*points))).alias("edges")
     )
+    # Read twice below; one row per column.
+    edges = materialize(edges, "drift-edges")
     both = before.withColumn("_new", F.lit(False)).unionByName(after.withColumn("_new", F.lit(True)))
     inner = F.expr("slice(edges, 2, greatest(size(edges) - 2, 0))")
     binned = both.join(
