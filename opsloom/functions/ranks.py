@@ -34,18 +34,26 @@ class Rank:
 
 
 def values_at_ranks(
-    frame: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Rank]
+    frame: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ranks: Mapping[str, Rank],
+    *,
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per group: ``n`` non-null values and the value at each named rank.
 
     Groups with a null key or without values give no row. Without ``keys`` the whole table is
-    one group, and an empty table gives no row.
+    one group, and an empty table gives no row. ``few_groups`` is for keys whose number the
+    caller has proven small (columns of a table, candidate models, tree leaves): their brackets
+    are broadcast. Otherwise the engine decides by the size it measures.
     """
     keys = list(keys)
     nears = sorted({rank.near for rank in ranks.values()})
     margin = 2.0 / SKETCH_ACCURACY
     probes = [p for near in nears for p in (max(0.0, near - margin), min(1.0, near + margin))]
-    rows = frame.select(*keys, F.col(value).alias("_value")).where("_value is not null")
+    known = " and ".join(f"`{c}` is not null" for c in [*keys, "_value"])
+    rows = frame.select(*keys, F.col(value).alias("_value")).where(known)
 
     def edge(probe: float, index: int) -> str:
         if probe <= 0:
@@ -68,7 +76,9 @@ def values_at_ranks(
         f"transform(array({', '.join(high)}), e -> if({whole}, _max, e)) as _high",
     ]
     if keys:
-        placed = rows.join(bounds.selectExpr(*map(_quoted, keys), "n", *columns), keys)
+        brackets = bounds.selectExpr(*map(_quoted, keys), "n", *columns)
+        # Every row has a bracket; the left join keeps the rows from being the broadcast side.
+        placed = rows.join(F.broadcast(brackets) if few_groups else brackets, keys, "left")
     else:
         one = bounds.selectExpr("n", *columns).select(F.struct("n", "_low", "_high")).scalar()
         placed = rows.withColumn("_b", one).selectExpr("_value", "_b.n", "_b._low", "_b._high")
@@ -106,7 +116,12 @@ def _quoted(name: str) -> str:
 
 
 def exact_percentiles(
-    frame: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float]
+    frame: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    points: Mapping[str, float],
+    *,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, as ``n`` and one double per named point."""
     ranks: dict[str, Rank] = {}
@@ -122,5 +137,5 @@ def exact_percentiles(
             f"if({share} >= 0.5D, {high} - ({high} - {low}) * (1 - {share}), "
             f"{low} + ({high} - {low}) * {share}) as `{name}`"
         )
-    found = values_at_ranks(frame, keys, value, ranks)
+    found = values_at_ranks(frame, keys, value, ranks, few_groups=few_groups)
     return found.selectExpr(*map(_quoted, keys), "n", *results)

@@ -53,8 +53,10 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     )
     within = rows.withColumns({f"_w_{n}": F.coalesce(F.sum(f"_v_{n}").over(inside), F.lit(0)) for n in names})
-    return within.join(offsets, level).select(
-        *frame.columns, *[(F.col(f"_w_{n}") + F.col(f"_o_{n}")).alias(n) for n in names]
+    # The totals hold one row per bucket; the left join keeps the rows from being broadcast.
+    return within.join(offsets, level, "left").select(
+        *frame.columns,
+        *[(F.col(f"_w_{n}") + F.coalesce(f"_o_{n}", F.lit(0))).alias(n) for n in names],
     )
 
 
@@ -75,6 +77,6 @@ def previous_value(
         .select(*level, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_BUCKET)).alias("_carried"))
     )
     within = rows.withColumn("_lag", F.lag(value).over(Window.partitionBy(*level).orderBy(*order)))
-    return within.join(carried, level).select(
+    return within.join(carried, level, "left").select(
         *frame.columns, F.coalesce("_lag", "_carried").alias(out)
     )

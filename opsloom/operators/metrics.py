@@ -32,9 +32,17 @@ def _errors(frame: DataFrame, keys: Sequence[str], actual: str, predicted: str)
 
 
 def regression_metrics(
-    frame: DataFrame, actual: str, predicted: str, keys: Sequence[str] = ()
+    frame: DataFrame,
+    actual: str,
+    predicted: str,
+    keys: Sequence[str] = (),
+    *,
+    few_groups: bool = False,
 ) -> DataFrame:
-    """MAE, median and p90 absolute error, RMSE and the share of under-predictions."""
+    """MAE, median and p90 absolute error, RMSE and the share of under-predictions.
+
+    ``few_groups`` says that the keys are proven to take few values, such as candidate models.
+    """
     errors = _errors(frame, keys, actual, predicted)
     plain = errors.groupBy(*keys).agg(
         F.avg("_absolute").alias("mae"),
@@ -42,7 +50,11 @@ def regression_metrics(
         F.avg((F.col("_error") < 0).cast("double")).alias("underprediction_rate"),
     )
     ranked = exact_percentiles(
-        errors, keys, "_absolute", {"median_absolute_error": 0.5, "p90_absolute_error": 0.9}
+        errors,
+        keys,
+        "_absolute",
+        {"median_absolute_error": 0.5, "p90_absolute_error": 0.9},
+        few_groups=few_groups,
     )
     return tidy(plain, keys, ["mae", "rmse", "underprediction_rate"]).unionByName(
         tidy(ranked, keys, ["median_absolute_error", "p90_absolute_error"])
@@ -220,7 +232,7 @@ def classification_metrics(
 def peak_mae(frame: DataFrame, actual: str, predicted: str, keys: Sequence[str]) -> DataFrame:
     """MAE over the rows whose actual value reaches its own p90 within ``keys``."""
     peaks = exact_percentiles(frame, keys, actual, {"_peak": 0.9}).select(*keys, "_peak")
-    top = frame.join(peaks, list(keys)).where(F.col(actual) >= F.col("_peak"))
+    top = frame.join(peaks, list(keys), "left").where(F.col(actual) >= F.col("_peak"))
     error = F.avg(F.abs(F.col(predicted) - F.col(actual)))
     return tidy(top.groupBy(*keys).agg(error.alias("peak_mae")), keys, ["peak_mae"])
 

@@ -238,7 +238,9 @@ def fit_leaf_intervals(
         seed=settings.seed,
     ).fit(encoded)
     leaves = tree.transform(encoded).select("_leaf", F.col(label).cast("double").alias("_label"))
-    bounds = exact_percentiles(leaves, ["_leaf"], "_label", {"lower": low, "upper": high}).drop("n")
+    bounds = exact_percentiles(
+        leaves, ["_leaf"], "_label", {"lower": low, "upper": high}, few_groups=True
+    ).drop("n")
     return LeafIntervals(tree, materialize(bounds, "leaf-bounds"))
 
 

@@ -73,7 +73,7 @@ def numeric_drift(
     before = _long(reference, columns, False).where(F.col("value").isNotNull() & ~F.isnan("value"))
     after = _long(current, columns, False).where(F.col("value").isNotNull() & ~F.isnan("value"))
     points = {f"q{i}": i * (1.0 / bins) if i < bins else 1.0 for i in range(bins + 1)}
-    edges = exact_percentiles(before, ["feature"], "value", points).select(
+    edges = exact_percentiles(before, ["feature"], "value", points, few_groups=True).select(
         "feature", F.array_sort(F.array_distinct(F.array(*points))).alias("edges")
     )
     # Read twice below; one row per column.

@@ -129,7 +129,9 @@ def train_wait_time(
         for name, candidate in candidates.items()
     ]
     validated = materialize(
-        regression_metrics(materialize(union(scored), "candidates"), label, "prediction", ["model"]),
+        regression_metrics(
+            materialize(union(scored), "candidates"), label, "prediction", ["model"], few_groups=True
+        ),
         "candidate-metrics",
     )
     mae = metric_values(validated, "mae", ["model"])
