@@ -108,11 +108,14 @@ def tag_references(
 ) -> dict[str, DataFrame]:
     """Mark rows whose parent is missing, in list order, so that losses cascade.
 
-    A parent counts only if it is itself still clean. With ``stage`` each shrunk table is
-    written once, so that a chain of children does not recompute its ancestors.
+    A parent counts only if it is itself still clean. With ``stage`` each table is written once,
+    when it is final, so that a chain of children does not recompute its ancestors.
     """
-    state = dict(tagged)
     last_use = {r.child: i for i, r in enumerate(references)}
+    state = {
+        name: materialize(table, f"checked-{name}") if stage and name not in last_use else table
+        for name, table in tagged.items()
+    }
     for position, ref in enumerate(references):
         child, parent = state[ref.child], state[ref.parent]
         present = (

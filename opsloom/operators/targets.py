@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from opsloom.errors import DataQualityError
 from opsloom.functions.clock import floor_to_interval, interval_sequence, minutes_between
 from opsloom.functions.running import previous_value, time_bucket
+from opsloom.functions.staging import materialize
 from opsloom.operators.contracts import require_columns, require_tables
 from opsloom.operators.joins import checked_join
 
@@ -37,7 +38,11 @@ def waiting_time_target(
         F.hour("queue_entered_at").alias("hour"),
         *carry,
     )
-    if verify and not target.where("wait_minutes is null or wait_minutes < 0").isEmpty():
+    return check_waiting_times(target) if verify else target
+
+
+def check_waiting_times(target: DataFrame) -> DataFrame:
+    if not target.where("wait_minutes is null or wait_minutes < 0").isEmpty():
         raise DataQualityError("waiting times are missing or negative")
     return target
 
@@ -82,8 +87,11 @@ def arrival_target(
     )
     counts = interval_counts(entries, SERIES_KEYS, "queue_entered_at", frequency=frequency)
     target = densify_calendar(counts, SERIES_KEYS, ["arrivals"], frequency=frequency)
-    if verify and counts.isEmpty():
-        raise DataQualityError("no arrivals")
+    if verify:
+        # The series is far smaller than the events behind it, so it is written before the check.
+        target = materialize(target, "arrival-target")
+        if target.isEmpty():
+            raise DataQualityError("no arrivals")
     return target
 
 
@@ -136,8 +144,6 @@ def occupancy_target(
         ["bed_id"],
         verify=verify_keys,
     )
-    if verify and events.isEmpty():
-        raise DataQualityError("no bed events")
     change = F.when(F.col("event_type") == "occupied", 1).otherwise(-1)
     net = (
         events.select("ward_id", floor_to_interval("event_time").alias("interval_start"), change.alias("d"))
@@ -163,6 +169,10 @@ def occupancy_target(
             (F.col("occupied_beds") / F.col("staffed_capacity")).alias("occupancy_ratio"),
         )
     )
-    if verify and not target.where("occupied_beds < 0 or occupied_beds > staffed_capacity").isEmpty():
-        raise DataQualityError("occupied beds must stay within capacity")
+    if verify:
+        target = materialize(target, "occupancy-target")
+        if target.isEmpty():
+            raise DataQualityError("no bed events")
+        if not target.where("occupied_beds < 0 or occupied_beds > staffed_capacity").isEmpty():
+            raise DataQualityError("occupied beds must stay within capacity")
     return target

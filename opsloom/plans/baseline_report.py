@@ -19,7 +19,7 @@ from opsloom.operators.splits import (
     split_boundaries,
     temporal_split,
 )
-from opsloom.operators.targets import arrival_target, waiting_time_target
+from opsloom.operators.targets import arrival_target, check_waiting_times, waiting_time_target
 
 
 @dataclass(frozen=True)
@@ -42,13 +42,14 @@ def baseline_analysis(
     Both targets are written once: each is read by the split, its baselines and the summaries.
     """
     require_tables(tables, ["appointments", "encounters", "queue_events"])
-    waiting = materialize(waiting_time_target(tables["encounters"], verify=verify), "waiting")
-    arrivals = materialize(
-        arrival_target(
-            tables["appointments"], tables["encounters"], verify=verify, verify_keys=verify_keys
-        ),
-        "arrivals",
+    waiting = materialize(waiting_time_target(tables["encounters"], verify=False), "waiting")
+    if verify:
+        check_waiting_times(waiting)
+    arrivals = arrival_target(
+        tables["appointments"], tables["encounters"], verify=verify, verify_keys=verify_keys
     )
+    if not verify:  # a verified series is a written table already
+        arrivals = materialize(arrivals, "arrivals")
     wait_split = temporal_split(waiting, "queue_entered_at")
     series_split = temporal_split(arrivals, "interval_start")
     checks = leakage_checks(wait_split, series_split)

@@ -69,6 +69,7 @@ from opsloom.operators.models import (
     top_importance,
 )
 from opsloom.operators.policy import reminder_policy
+from opsloom.operators.quality import assert_no_nulls
 from opsloom.operators.splits import (
     capacity_threshold,
     require_both_classes,
@@ -77,7 +78,7 @@ from opsloom.operators.splits import (
     tag_windows,
     temporal_split,
 )
-from opsloom.operators.targets import SERIES_KEYS
+from opsloom.operators.targets import SERIES_KEYS, check_waiting_times
 
 WAIT_FEATURES = FeatureSet(WAIT_CATEGORICAL, WAIT_NUMERIC)
 NO_SHOW_FEATURES = FeatureSet(NO_SHOW_CATEGORICAL, NO_SHOW_NUMERIC)
@@ -87,6 +88,12 @@ def union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _checked(features: DataFrame, name: str, verify: bool) -> DataFrame:
+    """Write the features and look for nulls in the written table, not by building them twice."""
+    rows = materialize(features, name)
+    return assert_no_nulls(rows, error=TrainingDataError) if verify else rows
+
+
 def metric_values(metrics: DataFrame, metric: str, keys: Sequence[str]) -> dict:
     """One metric per model on the driver: a handful of candidates."""
     rows = metrics.where(F.col("metric") == metric).collect()
@@ -119,7 +126,10 @@ def train_wait_time(
     not beat the constant median on the test period is an error.
     """
     label = "wait_minutes"
-    rows = materialize(wait_features(tables, verify=verify, verify_keys=verify_keys), "wait-features")
+    features = wait_features(tables, verify=False, verify_keys=verify_keys)
+    rows = _checked(features, "wait-features", verify)
+    if verify:
+        check_waiting_times(rows)
     parts = temporal_split(rows, "queue_entered_at")
     encoder = fit_encoder(parts.train, WAIT_FEATURES)
     train, validation = encode(encoder, parts.train), encode(encoder, parts.validation)
@@ -214,10 +224,10 @@ def train_no_show(
         tables,
         grace_minutes=grace_minutes,
         late_minutes=late_minutes,
-        verify=verify,
+        verify=False,
         verify_keys=verify_keys,
     )
-    rows = materialize(features, "no-show-features")
+    rows = _checked(features, "no-show-features", verify)
     parts = temporal_split(rows, "booking_created_at")
     require_both_classes(parts.labelled, label)
     encoder = fit_encoder(parts.train, NO_SHOW_FEATURES)
