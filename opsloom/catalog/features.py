@@ -207,7 +207,8 @@ def _boundary_sql(view: str, time: str) -> str:
 
 
 def waiting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return waiting_time_target(views.encounters(spark, sf_dir), verify=False)
+    """The waiting target, written once: the cut times and every part read it again."""
+    return materialize(waiting_time_target(views.encounters(spark, sf_dir), verify=False), "waiting")
 
 
 @query(

@@ -3,8 +3,9 @@
 The built-in exact ``percentile`` keeps every distinct value of a group in one buffer, which a
 hot group of continuous values overflows. Here a bounded sketch first brackets each wanted rank,
 all rows outside the brackets collapse to counts on the map side, and only the few values inside
-a bracket are ranked. Results equal a full sort: the sketch decides how much is ranked, not what
-is returned, and a bracket that missed its rank stops the query instead of giving a wrong value.
+a bracket are ranked, in bands that run in parallel. Results equal a full sort: the sketch decides
+how much is ranked, not what is returned, and a bracket that missed its rank stops the query
+instead of giving a wrong value.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.functions.running import running_totals
@@ -21,8 +22,8 @@ from opsloom.functions.running import running_totals
 SKETCH_ACCURACY = 20_000
 # Groups up to this size are ranked whole: their brackets would be a handful of rows wide.
 WHOLE_GROUP_ROWS = 40_000
-# With more brackets than this, each one is ranked in a task of its own.
-SHARED_BRACKETS = 3
+# Values inside a large group's bracket are ranked in this many bands, each in a task of its own.
+BRACKET_BANDS = 256
 
 
 @dataclass(frozen=True)
@@ -80,27 +81,34 @@ def values_at_ranks(
         # Every row has a bracket; the left join keeps the rows from being the broadcast side.
         placed = rows.join(F.broadcast(brackets) if few_groups else brackets, keys, "left")
     else:
-        one = bounds.selectExpr("n", *columns).select(F.struct("n", "_low", "_high")).scalar()
-        placed = rows.withColumn("_b", one).selectExpr("_value", "_b.n", "_b._low", "_b._high")
+        # One row of edges: as literals they fold into the scan, and both uses below share it.
+        one = bounds.selectExpr("n", *columns).first()
+        kind = frame.schema[value].dataType
+        placed = rows.withColumns({
+            "n": F.lit(one.n).cast("bigint"),
+            "_low": F.array(*[F.lit(edge).cast(kind) for edge in one._low]),
+            "_high": F.array(*[F.lit(edge).cast(kind) for edge in one._high]),
+        })
 
     entered = " + ".join(f"int(_value >= _low[{i}])" for i in range(len(nears)))
     left = " + ".join(f"int(_value > _high[{i}])" for i in range(len(nears)))
+    # Position of the value between the edges of its bracket; small groups need no bands.
+    span = "(_high[_in - 1] - _low[_in - 1])"
+    place = f"floor((_value - _low[_in - 1]) / {span} * {BRACKET_BANDS})"
+    band = f"if({whole} or {span} <= 0, 0, least({BRACKET_BANDS - 1}, {place}))"
     cells = (
-        placed.selectExpr(*map(_quoted, keys), "n", "_value", f"{entered} as _in", f"{left} as _out")
+        placed.selectExpr(
+            *map(_quoted, keys), "n", "_value", "_low", "_high", f"{entered} as _in", f"{left} as _out"
+        )
         .groupBy(
             *keys,
             "n",
-            F.expr("_in + _out").alias("_segment"),
+            F.expr(f"(_in + _out) * {BRACKET_BANDS} + if(_in > _out, {band}, 0)").alias("_segment"),
             F.expr("if(_in > _out, _value, null)").alias("_cell"),
         )
         .agg(F.expr("count(*) as _count"))
     )
-    if len(nears) > SHARED_BRACKETS:
-        ranked = running_totals(cells, keys, ["_cell"], {"_upto": F.col("_count")}, F.col("_segment"))
-    else:
-        ordered = Window.partitionBy(*keys).orderBy("_segment", "_cell")
-        upto = F.sum("_count").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-        ranked = cells.withColumn("_upto", upto)
+    ranked = running_totals(cells, keys, ["_cell"], {"_upto": F.col("_count")}, F.col("_segment"))
 
     def pick(name: str, rank: Rank) -> Column:
         hit = f"{rank.position} < _upto and {rank.position} >= _upto - _count"
