@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import token_counts
+from opsloom.llm import language, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +31,25 @@ def tokenizer_file(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.held_out("doc_id", 3, 1)
+    labels = table(spark, sf_dir, "labels").where(~out)
+    model = quality.fit_quality(documents, labels)
+    scored = quality.score_quality(documents.withColumn("held_out", out), model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = quality.held_out("doc_id", 4, 2)
+    model = language.fit_languages(documents.where(~out))
+    texts = documents.select("doc_id", "text", out.alias("held_out"))
+    return language.predict_language(texts, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
