@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import fingerprints, language, quality, token_counts
+from opsloom.llm import fingerprints, html, language, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,3 +61,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition = tokenizer_file("byte_bpe_50k.json").decode()
     counted = token_counts.count_tokens(documents, definition)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
