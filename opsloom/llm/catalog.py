@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import fingerprints, html, language, quality, token_counts
+from opsloom.llm import fingerprints, html, language, near_dedup, quality, token_counts
+from opsloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,8 +18,12 @@ ORACLES: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(configure(spark), sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +52,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

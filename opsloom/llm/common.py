@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +22,28 @@ _SPREAD_1 = np.uint64(0xBF58476D1CE4E5B9)
 _SPREAD_2 = np.uint64(0x94D049BB133111EB)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package's code to the workers, once per application, wherever it is imported from."""
+    context = spark.sparkContext
+    if _SHIPPED.get("application") == context.applicationId:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="opsloom-code-")) / "opsloom_code.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for module in sorted(package.rglob("*.py")):
+            target.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED["application"] = context.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
+
+
 def map_batches(
     frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """``mapInArrow`` with batches bounded in rows and bytes."""
+    ship(frame.sparkSession)
     conf = frame.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
