@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import fingerprints, html, language, near_dedup, quality, token_counts
+from opsloom.llm import fingerprints, html, language, near_dedup, quality, suffix_dedup, token_counts
 from opsloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = suffix_dedup.remove_repeats(documents)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
