@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import decontaminate, fingerprints, html, language, near_dedup, quality, suffix_dedup, token_counts
+from opsloom.llm import decontaminate, fingerprints, html, language, near_dedup, pieces, quality, suffix_dedup, token_counts
 from opsloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,21 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_language(texts, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each text's ids and of the text decoded from them again."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = tokenizer_file("piece_bpe_32k.model")
+    decoded = pieces.decode_pieces(pieces.encode_texts(documents, model), model)
+    return decoded.select(
+        "doc_id",
+        "n_pieces",
+        F.sha2("pieces", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
