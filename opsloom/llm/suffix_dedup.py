@@ -98,10 +98,16 @@ def stretches(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
         yield row[first], begin + first - offsets[row[first]], last - first, at - first, lead, grams[at], content
 
 
-def _ordered(lead: np.ndarray, gram: np.ndarray, content: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """Keys that compare as the four numbers in order, as signed numbers like Spark's own sort."""
-    wide = np.column_stack([c ^ np.uint64(1 << 63) for c in (lead, gram, content, row)]).astype(">u8")
-    return np.ascontiguousarray(wide).view("S32").ravel()
+_ORDER = ("lead", "gram", "content", "row", "stretch")
+
+
+def _ordered(*columns: np.ndarray) -> np.ndarray:
+    """Keys that compare as the numbers of ``_ORDER``, signed like Spark's own sort.
+
+    Row and place come last, so that any number of equal stretches can be split over ranges.
+    """
+    wide = np.column_stack([c.view(np.uint64) ^ np.uint64(1 << 63) for c in columns]).astype(">u8")
+    return np.ascontiguousarray(wide).view(f"S{8 * len(columns)}").ravel()
 
 
 def _place_among(splitters: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -110,8 +116,7 @@ def _place_among(splitters: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def _split(sample: pa.Table, parts: int) -> np.ndarray:
     """At most ``parts - 1`` splitters at even steps through the sorted sample."""
-    names = ("lead", "gram", "content", "row")
-    keys = np.sort(_ordered(*(sample.column(c).to_numpy().view(np.uint64) for c in names)))
+    keys = np.sort(_ordered(*(sample.column(c).to_numpy() for c in _ORDER)))
     steps = (np.arange(1, parts) * len(keys)) // parts
     return np.unique(keys[steps]) if len(keys) else keys
 
@@ -151,13 +156,10 @@ def _scan(rows: DataFrame, splitters: np.ndarray | None) -> DataFrame:
         for batch in batches:
             ids, check = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for row, first, more, anchor, lead, gram, content in stretches(batch.column(2)):
-                columns = [
-                    _signed(lead), _signed(gram), _signed(content), pa.array(ids[row]),
-                    pa.array(_pack(first, more, anchor, check[row])),
-                ]
-                names = ["lead", "gram", "content", "row", "stretch"]
+                values = [lead, gram, content, ids[row], _pack(first, more, anchor, check[row])]
+                columns, names = list(map(_signed, values)), list(_ORDER)
                 if shared is not None:
-                    part = _place_among(shared.value, _ordered(lead, gram, content, ids[row].view(np.uint64)))
+                    part = _place_among(shared.value, _ordered(*values))
                     columns, names = [*columns, pa.array(part)], [*names, "part"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -176,7 +178,7 @@ def _runs_of(*columns: np.ndarray) -> np.ndarray:
 def _sort_stretches(found: DataFrame, parts: int) -> DataFrame:
     """Repeated stretches, and one stretch of each content of an open anchor."""
     dealt = found.repartitionById(parts, "part").drop("part")
-    dealt = dealt.sortWithinPartitions("lead", "gram", "content", "row", "stretch")
+    dealt = dealt.sortWithinPartitions(*_ORDER)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches, SORT_ROWS):
@@ -226,7 +228,7 @@ def _cut(rows: DataFrame, wanted: DataFrame, splitters: np.ndarray) -> DataFrame
             places = np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], size)
             blob = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(data[places])])
             row = batch.column(0).to_numpy()[owner]
-            part = _place_among(shared.value, _ordered(*(c.view(np.uint64) for c in (lead, gram, content, row))))
+            part = _place_among(shared.value, _ordered(lead, gram, content, row, packed))
             yield pa.RecordBatch.from_arrays(
                 [*map(pa.array, (lead, gram, content, row, packed, kind)), blob.cast(pa.binary()), pa.array(part)],
                 names=["lead", "gram", "content", "row", "stretch", "kind", "bytes", "part"],
@@ -271,7 +273,7 @@ def repeated_windows(data: np.ndarray, start: np.ndarray, group: np.ndarray) ->
 
 def _sort_windows(pieces: DataFrame, parts: int) -> DataFrame:
     """Runs of repeated windows, and the hashes of windows whose anchor may go on elsewhere."""
-    dealt = pieces.repartitionById(parts, "part").drop("part").sortWithinPartitions("lead", "gram", "content", "row", "stretch")
+    dealt = pieces.repartitionById(parts, "part").drop("part").sortWithinPartitions(*_ORDER)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches, SORT_PIECES):
@@ -286,32 +288,41 @@ def _sort_windows(pieces: DataFrame, parts: int) -> DataFrame:
             ahead = distance[piece] - step  # bytes from the start of the window to its anchor
             found = repeated_windows(data, start, anchor[piece] * (WINDOW + 1) + ahead)
             edge = (anchor[piece] == anchor[0]) | (anchor[piece] == anchor[-1])
-            found &= kind[piece] == OPEN
-            head = found.copy()
-            head[1:] &= ~found[:-1] | (piece[1:] != piece[:-1])
-            tail = found.copy()
-            tail[:-1] &= ~found[1:] | (piece[1:] != piece[:-1])
+            wanted = kind[piece] == OPEN
+            head, tail = found & wanted, found & wanted
+            head[1:] &= ~tail[:-1] | (piece[1:] != piece[:-1])
+            tail[:-1] &= ~(found & wanted)[1:] | (piece[1:] != piece[:-1])
             a, b = np.flatnonzero(head), np.flatnonzero(tail)
             spans = [row[piece[a]], first[piece[a]] + step[a], step[b] - step[a], packed[piece[a]] & 0xFFFF]
+            # Undecided windows go on with their place; of decided ones each text goes on once, to
+            # be met by windows of other buckets.
             out = np.flatnonzero(edge)
-            outer = [row[piece[out]], first[piece[out]] + step[out], np.zeros(len(out), np.int64), packed[piece[out]] & 0xFFFF]
             high, low = np.zeros(len(out), np.uint64), np.zeros(len(out), np.uint64)
             if len(out):
                 _, windows = _windows(data)
                 _, again = _windows(data ^ np.uint8(0x5A))
                 high, low = windows[start[out]], mix(again[start[out]], windows[start[out]])
+            undecided = (wanted & ~found)[out]
+            decided = np.flatnonzero(~undecided)
+            _, one = np.unique(high[decided], return_index=True)
+            sent = np.concatenate([np.flatnonzero(undecided), decided[one]])
+            out, high, low, undecided = out[sent], high[sent], low[sent], undecided[sent]
+            outer = [row[piece[out]], first[piece[out]] + step[out], np.zeros(len(out), np.int64), packed[piece[out]] & 0xFFFF]
             none = np.zeros(len(a), np.uint64)
             merged = [np.concatenate(pair) for pair in zip(spans, outer, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(merged[0]), pa.array(merged[1]), pa.array(merged[2]), pa.array(merged[3]),
+                    *map(pa.array, merged),
                     pa.array(np.repeat([False, True], [len(a), len(out)])),
-                    _signed(np.concatenate([none, high])), _signed(np.concatenate([none, low])),
+                    pa.array(np.concatenate([np.zeros(len(a), bool), undecided])),
+                    _signed(np.concatenate([none, high])),
+                    _signed(np.concatenate([none, low])),
                 ],
-                names=["row", "first", "more", "check", "across", "high", "low"],
-            )
+                names=["row", "first", "more", "check", "across", "undecided", "high", "low"],
+            )
 
-    return map_batches(dealt, compare, "row long, first long, more long, check long, across boolean, high long, low long")
+    schema = "row long, first long, more long, check long, across boolean, undecided boolean, high long, low long"
+    return map_batches(dealt, compare, schema)
 
 
 def repeated_spans(spark: SparkSession, rows: DataFrame) -> DataFrame:
@@ -325,7 +336,7 @@ def repeated_spans(spark: SparkSession, rows: DataFrame) -> DataFrame:
     wanted = decided.where(F.col("kind") != REPEATED)
     share = min(1.0, SAMPLE_STRETCHES / max(1, wanted.count()))
     sample = wanted if share == 1.0 else wanted.sample(share, 7)
-    splitters = _split(sample.select("lead", "gram", "content", "row").toArrow(), parts)
+    splitters = _split(sample.select(*_ORDER).toArrow(), parts)
     compared = staged(_sort_windows(_cut(rows, wanted, splitters), parts), "windows")
     whole = decided.where(F.col("kind") != OPEN).selectExpr(
         "row", "shiftright(stretch, 32) as first", "shiftright(stretch, 24) & 255 as more", "stretch & 65535 as check"
@@ -333,7 +344,7 @@ def repeated_spans(spark: SparkSession, rows: DataFrame) -> DataFrame:
     inner = compared.where("not across").select("row", "first", "more", "check")
     across = compared.where("across")
     twice = across.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
-    outer = across.join(twice, ["high", "low"], "left_semi").select("row", "first", "more", "check")
+    outer = across.where("undecided").join(twice, ["high", "low"], "left_semi").select("row", "first", "more", "check")
     return whole.union(inner).union(outer)
 
 
