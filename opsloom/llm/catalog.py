@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import decontaminate, fingerprints, html, language, near_dedup, pieces, quality, suffix_dedup, token_counts
+from opsloom.llm import decontaminate, fingerprints, html, language, licenses, near_dedup, pieces, quality, suffix_dedup, token_counts
 from opsloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = licenses.scan_licenses(documents)
+    return scanned.select("doc_id", "n_licenses", F.array_join("licenses", ",").alias("licenses"))
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -135,3 +142,30 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM texts LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+def _license_sql() -> str:
+    quoted = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in licenses.TEMPLATES.items())
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+    return f"""
+WITH templates(name, text) AS (VALUES {quoted}),
+known AS (
+  SELECT DISTINCT name, array_to_string(ws[i:i + 4], ' ') AS shingle
+  FROM (SELECT name, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM (SELECT name, {words} AS ws FROM templates))),
+found AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM (SELECT doc_id, {words} AS ws FROM documents))),
+held AS (SELECT doc_id, name, count(*) AS n FROM found JOIN known USING (shingle) GROUP BY ALL),
+sizes AS (SELECT name, count(*) AS size FROM known GROUP BY name),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS listed
+  FROM held JOIN sizes USING (name) WHERE n >= 0.75 * size GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(listed, '') AS licenses
+FROM documents LEFT JOIN named USING (doc_id)
+"""
+
+
+ORACLES["op8_licenses"] = _license_sql()
