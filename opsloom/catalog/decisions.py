@@ -12,6 +12,7 @@ from opsloom.operators.forecast import LagModel, department_forecast, forecast_a
 from opsloom.operators.policy import reminder_policy, retraining_gate, with_repaired_interval
 from opsloom.operators.profile import alert_rows, forecast_level, occupancy_pivot
 from opsloom.operators.scenario import flow_summary, max_queue_length, recommend_scenario
+from opsloom.operators.splits import capacity, first_rows
 from opsloom.sources import views
 
 # Weighted lags stand in for a learned model, so every step can be recomputed in SQL.
@@ -163,6 +164,25 @@ def reminders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "reminder_policy_text_ids",
+    sql(
+        """SELECT id, actual FROM (
+             SELECT 'a' || CAST(event_id AS VARCHAR) AS id, actual, round(p, 1) AS coarse FROM scored)
+           ORDER BY coarse DESC, id LIMIT (SELECT greatest(1, floor(count(*) * 0.2::DOUBLE)::BIGINT) FROM scored)""",
+        "keyed",
+        scored=SCORED,
+    ),
+)
+def reminders_by_text_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chosen rows themselves; coarse scores make long runs of ties for the text ids to break."""
+    scores = scored_events(spark, sf_dir).select(
+        F.concat(F.lit("a"), F.col("event_id").cast("string")).alias("id"), "actual", F.round("p", 1).alias("coarse")
+    )
+    chosen = first_rows(scores, -F.col("coarse"), "id", lambda n: capacity(n, 0.2))
+    return scores.where(chosen).select("id", "actual")
+
+
 @query(
     "retraining_gate",
     f"""SELECT l_returnflag, {r6("c", "current_value")}, {r6("d", "candidate_value")}, blocked,

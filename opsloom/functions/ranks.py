@@ -1,11 +1,11 @@
 """Exact order statistics that never gather a group.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one buffer, which a
-hot group of continuous values overflows. Here a bounded sketch first brackets each wanted rank,
-all rows outside the brackets collapse to counts on the map side, and only the few values inside
-a bracket are ranked, in bands that run in parallel. Results equal a full sort: the sketch decides
-how much is ranked, not what is returned, and a bracket that missed its rank stops the query
-instead of giving a wrong value.
+hot group of continuous values overflows. Here the edges of a bounded sketch cut each group into
+segments, narrow ones around the wanted ranks. Rows are counted exactly per segment, the counts
+tell which segment holds a rank, and only the rows of those segments are ordered, each segment in
+a task of its own. The sketch decides how much is ordered, never what is returned, and small and
+large groups take the same path.
 """
 
 from __future__ import annotations
@@ -13,17 +13,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsloom.functions.running import running_totals
-
-# Rank error of the sketch is n / SKETCH_ACCURACY; brackets are twice that wide on each side.
+# Rank error of the sketch is n / SKETCH_ACCURACY; the narrow segments are as wide.
 SKETCH_ACCURACY = 20_000
-# Groups up to this size are ranked whole: their brackets would be a handful of rows wide.
-WHOLE_GROUP_ROWS = 40_000
-# Values inside a large group's bracket are ranked in this many bands, each in a task of its own.
-BRACKET_BANDS = 256
+NARROW = (-2, -1, 1, 2)
+# Wide segments over the whole group.
+WIDE = 8
 
 
 @dataclass(frozen=True)
@@ -46,74 +43,46 @@ def values_at_ranks(
 
     Groups with a null key or without values give no row. Without ``keys`` the whole table is
     one group, and an empty table gives no row. ``few_groups`` is for keys whose number the
-    caller has proven small (columns of a table, candidate models, tree leaves): their brackets
+    caller has proven small (columns of a table, candidate models, tree leaves): their edges
     are broadcast. Otherwise the engine decides by the size it measures.
     """
     keys = list(keys)
-    nears = sorted({rank.near for rank in ranks.values()})
-    margin = 2.0 / SKETCH_ACCURACY
-    probes = [p for near in nears for p in (max(0.0, near - margin), min(1.0, near + margin))]
+    near = {min(1.0, max(0.0, r.near + step / SKETCH_ACCURACY)) for r in ranks.values() for step in NARROW}
+    probes = sorted(near | {i / WIDE for i in range(1, WIDE)})
     known = " and ".join(f"`{c}` is not null" for c in [*keys, "_value"])
     rows = frame.select(*keys, F.col(value).alias("_value")).where(known)
-
-    def edge(probe: float, index: int) -> str:
-        if probe <= 0:
-            return "_min"
-        if probe >= 1:
-            return "_max"
-        return f"_edge[{index}]"
-
-    low = [edge(p, 2 * i) for i, p in enumerate(probes[0::2])]
-    high = [edge(p, 2 * i + 1) for i, p in enumerate(probes[1::2])]
-    bounds = rows.groupBy(*keys).agg(
-        F.expr("count(*) as n"),
-        F.expr("min(_value) as _min"),
-        F.expr("max(_value) as _max"),
-        F.percentile_approx("_value", probes, SKETCH_ACCURACY).alias("_edge"),
+    edges = rows.groupBy(*keys).agg(
+        F.expr("count(*) as n"), F.percentile_approx("_value", probes, SKETCH_ACCURACY).alias("_edge")
     )
-    whole = f"n <= {WHOLE_GROUP_ROWS}"
-    columns = [
-        f"transform(array({', '.join(low)}), e -> if({whole}, _min, e)) as _low",
-        f"transform(array({', '.join(high)}), e -> if({whole}, _max, e)) as _high",
-    ]
     if keys:
-        brackets = bounds.selectExpr(*map(_quoted, keys), "n", *columns)
-        # Every row has a bracket; the left join keeps the rows from being the broadcast side.
-        placed = rows.join(F.broadcast(brackets) if few_groups else brackets, keys, "left")
+        # Every row has edges; the left join keeps the rows from being the broadcast side.
+        placed = rows.join(F.broadcast(edges) if few_groups else edges, keys, "left")
     else:
-        # One row of edges: as literals they fold into the scan, and both uses below share it.
-        one = bounds.selectExpr("n", *columns).first()
+        # One row of edges: as literals they fold into the scan.
+        one = edges.first()
         kind = frame.schema[value].dataType
-        placed = rows.withColumns({
-            "n": F.lit(one.n).cast("bigint"),
-            "_low": F.array(*[F.lit(edge).cast(kind) for edge in one._low]),
-            "_high": F.array(*[F.lit(edge).cast(kind) for edge in one._high]),
-        })
-
-    entered = " + ".join(f"int(_value >= _low[{i}])" for i in range(len(nears)))
-    left = " + ".join(f"int(_value > _high[{i}])" for i in range(len(nears)))
-    # Position of the value between the edges of its bracket; small groups need no bands.
-    span = "(_high[_in - 1] - _low[_in - 1])"
-    place = f"floor((_value - _low[_in - 1]) / {span} * {BRACKET_BANDS})"
-    band = f"if({whole} or {span} <= 0, 0, least({BRACKET_BANDS - 1}, {place}))"
-    cells = (
-        placed.selectExpr(
-            *map(_quoted, keys), "n", "_value", "_low", "_high", f"{entered} as _in", f"{left} as _out"
-        )
-        .groupBy(
-            *keys,
-            "n",
-            F.expr(f"(_in + _out) * {BRACKET_BANDS} + if(_in > _out, {band}, 0)").alias("_segment"),
-            F.expr("if(_in > _out, _value, null)").alias("_cell"),
-        )
-        .agg(F.expr("count(*) as _count"))
-    )
-    ranked = running_totals(cells, keys, ["_cell"], {"_upto": F.col("_count")}, F.col("_segment"))
+        cuts = [F.lit(edge).cast(kind) for edge in one._edge or [None] * len(probes)]
+        placed = rows.withColumns({"n": F.lit(one.n).cast("bigint"), "_edge": F.array(*cuts)})
+    # A segment holds the values above its edge, up to and with the next one.
+    segment = F.expr(" + ".join(f"int(_value > _edge[{i}])" for i in range(len(probes))))
+    placed = placed.select(*keys, "n", "_value", segment.alias("_segment"))
+    counted = placed.groupBy(*keys, "n", "_segment").agg(F.expr("count(*) as _rows"))
+    # One row per segment of a group, whatever its size.
+    upto = F.sum("_rows").over(Window.partitionBy(*keys).orderBy("_segment"))
+    counted = counted.withColumn("_before", upto - F.col("_rows"))
+
+    def inside(rank: Rank, before: str, rows: str) -> str:
+        return f"{rank.position} >= {before} and {rank.position} < {before} + {rows}"
+
+    holds = " or ".join(f"({inside(rank, '_before', '_rows')})" for rank in ranks.values())
+    wanted = counted.where(holds).select(*keys, "_segment", "_before")
+    cells = placed.join(wanted, [*keys, "_segment"]).groupBy(*keys, "n", "_segment", "_before", "_value")
+    cells = cells.agg(F.expr("count(*) as _count"))
+    order = Window.partitionBy(*keys, "_segment").orderBy("_value")
+    ranked = cells.withColumn("_first", F.col("_before") + F.sum("_count").over(order) - F.col("_count"))
 
     def pick(name: str, rank: Rank) -> Column:
-        hit = f"{rank.position} < _upto and {rank.position} >= _upto - _count"
-        found = f"coalesce(_cell, raise_error('rank bracket missed {name}'))"
-        return F.expr(f"max(if({hit}, {found}, null)) as `{name}`")
+        return F.expr(f"max(if({inside(rank, '_first', '_count')}, _value, null)) as `{name}`")
 
     picks = [pick(name, rank) for name, rank in ranks.items()]
     return ranked.groupBy(*keys, "n").agg(*picks).select(*keys, "n", *ranks)

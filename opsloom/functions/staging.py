@@ -2,36 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsloom.errors import ConfigurationError
-
-_LOCAL_ROOTS: dict[str, str] = {}
-
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables, taken from ``spark.checkpoint.dir``.
+    """Folder for intermediate tables: under ``spark.checkpoint.dir``, else under the warehouse.
 
-    A temporary folder is used only on a local master without that setting; on a cluster a
-    missing setting is an error, because executors share no machine-local folder.
+    The rule is the same on every master. Both are folders all executors share.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/") + "/opsloom"
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise ConfigurationError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="opsloom-staging-")
-    return _LOCAL_ROOTS[app]
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/") + "/opsloom"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path for one table, deleted by its file system when the application ends."""
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def materialize(frame: DataFrame, name: str) -> DataFrame:

@@ -206,7 +206,7 @@ def series_features(
         f"rolling_{TRAILING_ROWS}": trailing_mean(value, groups, time),
     }).na.drop()
     if verify and features.isEmpty():
-        raise TrainingDataError("at least eight days of hourly history are required")
+        raise TrainingDataError("no row has a full week of lags before it")
     return features
 
 

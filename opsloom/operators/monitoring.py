@@ -69,7 +69,7 @@ def numeric_drift(
     columns share one job. The edge table has one row per column, so it is broadcast.
     """
     if bins < 2:
-        raise ValueError("bins must be at least 2")
+        raise ValueError("drift needs two or more bins")
     before = _long(reference, columns, False).where(F.col("value").isNotNull() & ~F.isnan("value"))
     after = _long(current, columns, False).where(F.col("value").isNotNull() & ~F.isnan("value"))
     points = {f"q{i}": i * (1.0 / bins) if i < bins else 1.0 for i in range(bins + 1)}

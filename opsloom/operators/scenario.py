@@ -100,7 +100,7 @@ def recommend_scenario(
         (of(ADDITIONAL_STAFFING, "doctors") - of(BASELINE, "doctors")).alias("_extra"),
     )
     if verify and (row := pair.first())._extra is not None and row._extra < 0:
-        raise RecommendationConstraintError("additional staffing cannot reduce the doctors")
+        raise RecommendationConstraintError("the scenario with more staff has fewer doctors")
     gain = F.greatest(F.lit(0.0), F.col("_p_base") - F.col("_p_more"))
     worth = (F.col("_extra") > 0) & (gain >= F.lit(float(minimum_p90_improvement_minutes)))
     return pair.select(

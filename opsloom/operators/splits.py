@@ -61,7 +61,7 @@ def split_points(
     time per part. Only the few times near each cut are ranked.
     """
     if train_fraction <= 0 or validation_fraction <= 0 or train_fraction + validation_fraction >= 1:
-        raise ValueError("split fractions must be positive and total less than one")
+        raise ValueError("train and validation fractions must each be above 0 and leave a share for the test part")
     both = train_fraction + validation_fraction
     # Fractions stay binary doubles: a decimal literal would round positions differently.
     train = f"(greatest(1, floor(double(n) * {train_fraction!r}D)) - 1)"
@@ -86,6 +86,8 @@ def temporal_split(
     points = split_points(frame, time_column, train_fraction, validation_fraction).first()
     if points is None or points.n < 3:
         raise DataQualityError("at least three distinct times are required for a temporal split")
+    if points.validation_end <= points.train_end:
+        raise DataQualityError("too few distinct times: the validation part would be empty")
     train_end = F.timestamp_micros(F.lit(points.train_end))
     validation_end = F.timestamp_micros(F.lit(points.validation_end))
     time = F.col(time_column)
@@ -161,36 +163,61 @@ def assert_leakage_free(checks: DataFrame) -> None:
         raise FeatureLeakageError(f"leakage checks failed: {sorted(failed)}")
 
 
-def _tie_break(frame: DataFrame, column: str) -> Column:
-    """A number that orders rows with equal sort value: the id itself, or a hash of a text id."""
-    kind = frame.schema[column].dataType
-    return F.col(column).cast("long") if isinstance(kind, T.IntegralType) else F.xxhash64(column)
+# Bytes of a text id that are ranked at once, as one number.
+ID_BYTES = 7
+
+
+def _id_number(column: str, step: int) -> Column:
+    """Bytes ``7 step`` to ``7 step + 6`` of a text as a number that orders like them, 0 past its end."""
+    part = F.substring(F.col(column).cast("binary"), step * ID_BYTES + 1, ID_BYTES)
+    # One digit for the length keeps a text before the texts it begins.
+    digits = F.concat(F.rpad(F.hex(part), 2 * ID_BYTES, "0"), F.octet_length(part).cast("string"))
+    return F.conv(digits, 16, 10).cast("long")
+
+
+def _id_at(rows: DataFrame, column: str, index: int, n: int) -> Column:
+    """Condition that holds for the ids up to the one at ``index`` among the ``n`` rows, in id order."""
+    if isinstance(rows.schema[column].dataType, T.IntegralType):
+        return F.col(column) <= F.lit(_at(rows, column, index, n))
+    longest = rows.agg(F.max(F.octet_length(F.col(column).cast("binary")))).first()[0] or 0
+    steps = longest // ID_BYTES + 1
+    below, equal = F.lit(False), F.lit(True)
+    for step in range(steps):
+        numbered = rows.where(equal).withColumn("_number", _id_number(column, step))
+        cut = F.lit(_at(numbered, "_number", index, n))
+        sizes = numbered.agg(F.count_if(F.col("_number") < cut).alias("less"), F.count_if(F.col("_number") == cut).alias("same")).first()
+        below = below | (equal & (_id_number(column, step) < cut))
+        equal = equal & (_id_number(column, step) == cut)
+        index, n = index - sizes.less, sizes.same
+    return below | equal
 
 
 def first_rows(frame: DataFrame, value: Column, tie: str, share: Callable[[int], int]) -> Column:
     """Condition that holds for exactly the first ``share(n)`` rows in the order ``(value, tie)``.
 
-    The cut is an order statistic: the value at the last wanted rank, then the tie breaker at the
-    rank that remains among the rows with just that value. The driver receives these numbers
-    only; no table is sorted as a whole and no large limit passes through one task.
+    The cut is an order statistic: the value at the last wanted rank, then the id at the rank that
+    remains among the rows with just that value. The driver receives these numbers only; no table
+    is sorted as a whole and no large limit passes through one task. Text ids order by their bytes.
+    Ids repeated at the cut cannot be told apart and are an error.
     """
-    order, broken = value, _tie_break(frame, tie)
-    rows = frame.select(order.alias("_order"), broken.alias("_tie")).where("_order is not null")
+    rows = frame.select(value.alias("_order"), F.col(tie)).where("_order is not null")
     n = rows.count()
     k = min(share(n), n)
     if k <= 0:
         return F.lit(False)
-    cut = _at(rows, "_order", k - 1, n)
+    cut = F.lit(_at(rows, "_order", k - 1, n))
     sizes = rows.agg(
-        F.count_if(F.col("_order") < F.lit(cut)).alias("before"),
-        F.count_if(F.col("_order") == F.lit(cut)).alias("ties"),
+        F.count_if(F.col("_order") < cut).alias("before"),
+        F.count_if(F.col("_order") == cut).alias("ties"),
     ).first()
     wanted = k - sizes.before
     if wanted == sizes.ties:
-        return F.coalesce(order <= F.lit(cut), F.lit(False))
-    last = _at(rows.where(F.col("_order") == F.lit(cut)), "_tie", wanted - 1, sizes.ties)
-    chosen = (order < F.lit(cut)) | ((order == F.lit(cut)) & (broken <= F.lit(last)))
-    return F.coalesce(chosen, F.lit(False))
+        return F.coalesce(value <= cut, F.lit(False))
+    tied = rows.where((F.col("_order") == cut) & F.col(tie).isNotNull())
+    first = _id_at(tied, tie, wanted - 1, sizes.ties)
+    if tied.where(first).count() != wanted:
+        raise DataQualityError(f"column {tie} does not tell the rows at the cut apart")
+    return F.coalesce((value < cut) | ((value == cut) & first), F.lit(False))
 
 
 def _at(rows: DataFrame, column: str, index: int, n: int) -> float | int:

@@ -47,7 +47,7 @@ def append_predictions(records: DataFrame, path: str) -> None:
 def recent_predictions(records: DataFrame, limit: int) -> DataFrame:
     """The newest records; every task keeps at most ``limit`` rows."""
     if not 1 <= limit <= 100:
-        raise ValueError("limit must be between 1 and 100")
+        raise ValueError("ask for 1 to 100 records")
     return records.orderBy(F.desc("created_at"), F.desc("id")).limit(limit)
 
 

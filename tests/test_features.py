@@ -172,3 +172,26 @@ def test_rolling_windows(spark):
     assert windows[1].future(_series(spark)).count() == 48
     with pytest.raises(TrainingDataError):
         rolling_origin_windows(_series(spark, 200), 2)
+
+
+def test_three_times_leave_no_validation_part(spark):
+    frame = spark.sql("select timestamp'2026-01-01' + make_dt_interval(0, id) as t from range(3)")
+    with pytest.raises(DataQualityError):
+        temporal_split(frame, "t")
+    four = spark.sql("select timestamp'2026-01-01' + make_dt_interval(0, id) as t from range(4)")
+    parts = {r.split: r.rows for r in split_boundaries(temporal_split(four, "t").labelled, "t").collect()}
+    assert parts == {"train": 2, "validation": 1, "test": 1}
+
+
+def test_text_ids_break_ties_in_byte_order(spark):
+    ids = ["b", "a10", "a1", "a", "", "a10000000000", "a10000000001", "\u00e9", "z" * 30, "z" * 29]
+    frame = spark.createDataFrame([(0.5, i) for i in ids], "p double, id string")
+    for k in (1, 4, 9):
+        got = {r.id for r in frame.where(first_rows(frame, -F.col("p"), "id", lambda n, k=k: k)).collect()}
+        assert got == set(sorted(ids, key=str.encode)[:k])
+
+
+def test_repeated_ids_at_the_cut_are_an_error(spark):
+    frame = spark.createDataFrame([(0.5, "x")] * 4, "p double, id string")
+    with pytest.raises(DataQualityError):
+        first_rows(frame, -F.col("p"), "id", lambda n: 2)

@@ -21,10 +21,9 @@ def skewed(spark):
     return frame, spark.createDataFrame(frame).repartition(6)
 
 
-@pytest.mark.parametrize("small", [100, 10**9])
-def test_percentiles_equal_numpy(skewed, monkeypatch, small):
-    monkeypatch.setattr(ranks, "WHOLE_GROUP_ROWS", small)
-    monkeypatch.setattr(ranks, "SKETCH_ACCURACY", 2_000)
+@pytest.mark.parametrize("accuracy", [20, 2_000, 20_000])
+def test_percentiles_equal_numpy(skewed, monkeypatch, accuracy):
+    monkeypatch.setattr(ranks, "SKETCH_ACCURACY", accuracy)
     local, frame = skewed
     points = {"p0": 0.0, "p10": 0.1, "p33": 0.333, "p50": 0.5, "p90": 0.9, "p100": 1.0}
     got = exact_percentiles(frame, ["key"], "value", points).toPandas().set_index("key")
@@ -52,10 +51,18 @@ def test_values_at_ranks(skewed):
     assert (row.a, row.b) == (0, 30_000)
 
 
-def test_missed_bracket_is_an_error(skewed, monkeypatch):
-    monkeypatch.setattr(ranks, "WHOLE_GROUP_ROWS", 10)
-    with pytest.raises(Exception, match="rank bracket missed"):
-        values_at_ranks(skewed[1], [], "value", {"a": Rank(0.9, "0")}).collect()
+def test_a_wrong_guess_of_the_place_costs_time_only(skewed):
+    local, frame = skewed
+    row = values_at_ranks(frame, [], "value", {"a": Rank(0.9, "0"), "b": Rank(0.1, "n - 1")}).first()
+    assert (row.a, row.b) == (local.value.min(), local.value.max())
+
+
+def test_outlier_and_heavy_tail(spark):
+    values = [5.0] * 999 + [1e12] + [float(2**i) for i in range(60)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    row = exact_percentiles(frame, [], "v", {"p50": 0.5, "p99": 0.99, "p100": 1.0}).first()
+    want = np.quantile(values, [0.5, 0.99, 1.0])
+    assert (row.p50, row.p99, row.p100) == pytest.approx(tuple(want), rel=1e-12)
 
 
 @pytest.mark.parametrize("include", [True, False])

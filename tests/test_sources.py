@@ -136,9 +136,8 @@ def test_staging_folder_comes_from_the_session(spark, monkeypatch):
     session = Session()
     session.conf = Conf(shared)
     assert staging.staging_root(session) == "hdfs:///shared/opsloom"
-    session.conf = Conf({"spark.master": "yarn"})
-    with pytest.raises(ConfigurationError):
-        staging.staging_root(session)
+    session.conf = Conf({"spark.sql.warehouse.dir": "hdfs:///warehouse"})
+    assert staging.staging_root(session) == "hdfs:///warehouse/opsloom"
 
 
 def test_baseline_report_files(spark, sf_dir, tmp_path):
