@@ -34,12 +34,12 @@ def hospital_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def wait_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feats.wait_features(hospital_tables(spark, sf_dir), verify=False, verify_keys=False)
+    return feats.wait_features(hospital_tables(spark, sf_dir))
 
 
 def no_show_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feats.no_show_features(
-        hospital_tables(spark, sf_dir), grace_minutes=60, late_minutes=15, verify=False, verify_keys=False
+        hospital_tables(spark, sf_dir), grace_minutes=60, late_minutes=15
     )
 
 
@@ -140,7 +140,7 @@ def trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(feats.arrival_features(arrivals(spark, sf_dir), verify=False))
+    return rounded(feats.arrival_features(arrivals(spark, sf_dir)))
 
 
 @query(
@@ -153,7 +153,7 @@ def arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def beds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(feats.occupancy_features(occupancy(spark, sf_dir), verify=False))
+    return rounded(feats.occupancy_features(occupancy(spark, sf_dir)))
 
 
 @query(
@@ -208,7 +208,7 @@ def _boundary_sql(view: str, time: str) -> str:
 
 def waiting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The waiting target, written once: the cut times and every part read it again."""
-    return materialize(waiting_time_target(views.encounters(spark, sf_dir), verify=False), "waiting")
+    return materialize(waiting_time_target(views.encounters(spark, sf_dir)), "waiting")
 
 
 @query(

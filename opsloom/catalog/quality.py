@@ -361,7 +361,7 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = arrival_target(
-        views.appointments(spark, sf_dir), views.encounters(spark, sf_dir), verify=False, verify_keys=False
+        views.appointments(spark, sf_dir), views.encounters(spark, sf_dir)
     )
     day = lookup_shifted(target, target, SERIES_KEYS, "interval_start", "arrivals", hours=24, out="day_before")
     week = lookup_shifted(day, target, SERIES_KEYS, "interval_start", "arrivals", hours=168, out="week_before")

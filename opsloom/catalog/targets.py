@@ -26,8 +26,6 @@ def arrivals(spark: SparkSession, sf_dir: str, frequency: str = "1h") -> DataFra
         views.appointments(spark, sf_dir),
         views.encounters(spark, sf_dir),
         frequency,
-        verify=False,
-        verify_keys=False,
     )
 
 
@@ -37,7 +35,7 @@ def occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bed_events": views.bed_events(spark, sf_dir),
         "admissions": views.admissions(spark, sf_dir),
     }
-    return occupancy_target(tables, verify=False, verify_keys=False)
+    return occupancy_target(tables)
 
 
 @query(

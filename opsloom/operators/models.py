@@ -21,6 +21,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +43,8 @@ class TrainingSettings:
     trees: int = 100
     boosting_rounds: int = 100
     boosting_depth: int = 4
+    # The deepest trees the library can grow.
+    forest_depth: int = 30
     ridge_alpha: float = 1.0
     interval_depth: int = 5
     interval_leaf_rows: int = 50
@@ -110,7 +113,7 @@ def regressors(encoded: DataFrame, label: str, settings: TrainingSettings) -> di
             labelCol=label,
             numTrees=settings.trees,
             minInstancesPerNode=3,
-            maxDepth=10,
+            maxDepth=settings.forest_depth,
             featureSubsetStrategy="all",
             seed=settings.seed,
         ),
@@ -138,7 +141,7 @@ def classifiers(label: str, weight: str, settings: TrainingSettings) -> dict:
             weightCol=weight,
             numTrees=settings.trees,
             minInstancesPerNode=4,
-            maxDepth=10,
+            maxDepth=settings.forest_depth,
             seed=settings.seed,
         ),
         "gradient_boosting": GBTClassifier(
@@ -345,39 +348,40 @@ def score_no_show(model: NoShowModel, frame: DataFrame, *, verify: bool = True)
 
 
 def linear_importance(encoded: DataFrame, coefficients: DenseVector, names: Sequence[str]) -> DataFrame:
-    """Mean absolute contribution ``coef * (x - mean)`` per feature of a linear model."""
+    """Mean absolute contribution ``coef * (x - mean)`` per feature of a linear model, over all rows.
+
+    Two aggregations of vectors; no row is unpivoted.
+    """
+    centre = StandardScaler(inputCol=FEATURES, outputCol="_centred", withMean=True, withStd=False).fit(encoded)
+    sums = centre.transform(encoded).agg(
+        Summarizer.normL1(F.col("_centred")).alias("_l1"), F.count("*").alias("_n")
+    )
     weights = F.array(*[F.lit(float(c)) for c in coefficients])
-    long = encoded.select(F.posexplode(vector_to_array(FEATURES)).alias("_at", "_x"))
-    means = long.groupBy("_at").agg(F.avg("_x").alias("_mean"))
     labels = F.array(*[F.lit(n) for n in names])
-    # One row per feature on the right: bounded by the length of the vector.
-    return (
-        long.join(F.broadcast(means), "_at")
-        .groupBy("_at")
-        .agg(F.avg(F.abs(F.col("_x") - F.col("_mean"))).alias("_spread"))
-        .select(
-            F.element_at(labels, F.col("_at") + 1).alias("feature"),
-            (F.abs(F.element_at(weights, F.col("_at") + 1)) * F.col("_spread")).alias("importance"),
-        )
+    long = sums.select("_n", F.posexplode(vector_to_array("_l1")).alias("_at", "_sum"))
+    return long.select(
+        F.get(labels, F.col("_at")).alias("feature"),
+        (F.abs(F.get(weights, F.col("_at"))) * F.col("_sum") / F.col("_n")).alias("importance"),
     )
 
 
-def shuffled_importance(
-    model: IntervalModel, frame: DataFrame, order: Sequence[str], sample_rows: int = 100
-) -> DataFrame:
+# Rows that exchange values with one another in the importance of tree models, about.
+EXCHANGE_ROWS = 20_000
+
+
+def shuffled_importance(model: IntervalModel, frame: DataFrame, order: Sequence[str]) -> DataFrame:
     """Mean absolute change of the prediction when one feature takes another row's value.
 
-    Works on the first ``sample_rows`` (1 to 1000) rows in ``order``: the sample size is a
-    parameter of the summary, and its window never holds more rows than that. All features are
-    scored in one pass over the sample.
+    All rows count. They are dealt by a hash of ``order`` to groups of about ``EXCHANGE_ROWS``, and
+    a row takes the values of the row after it in its group, the last those of the first. All
+    features are scored in one pass.
     """
-    if not 1 <= sample_rows <= 1000:
-        raise ValueError("sample_rows must be between 1 and 1000")
     names = list(model.features.columns)
-    sample = frame.orderBy(*order).limit(sample_rows).select(*order, *names)
-    ordered = Window.orderBy(*order)
+    groups = frame.count() // EXCHANGE_ROWS + 1
+    rows = frame.select(*order, *names, F.pmod(F.xxhash64(*order), F.lit(groups)).alias("_group"))
+    ordered = Window.partitionBy("_group").orderBy(*order)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    neighbours = sample.withColumns({
+    neighbours = rows.withColumns({
         f"_next_{c}": F.coalesce(F.lead(c).over(ordered), F.first(c).over(whole)) for c in names
     })
     variants = [

@@ -12,12 +12,18 @@ from opsloom.operators.targets import arrival_target
 
 
 def duplicate_rows(frame: DataFrame) -> DataFrame:
-    """One row: ``rows`` and ``duplicates``, the rows beyond the first of each kind."""
-    kinds = frame.groupBy(*frame.columns).agg(F.count("*").alias("_copies"))
-    return kinds.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
-    )
+    """One row: ``rows`` and ``duplicates``, the rows beyond the first of each kind.
+
+    Rows are counted by two hashes first; whole rows meet only where a pair of hashes repeats.
+    """
+    columns = [F.col(f"`{c}`") for c in frame.columns]
+    hashed = frame.withColumns({"_h1": F.xxhash64(*columns), "_h2": F.xxhash64(F.lit(1), *reversed(columns))})
+    pairs = hashed.groupBy("_h1", "_h2").agg(F.count("*").alias("_copies"))
+    total = pairs.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"))
+    repeated = hashed.join(pairs.where("_copies > 1").select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
+    kinds = repeated.groupBy("_h1", "_h2", *columns).agg(F.count("*").alias("_copies"))
+    extra = kinds.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"))
+    return total.select("rows", extra.scalar().alias("duplicates"))
 
 
 def profile_table(frame: DataFrame, name: str) -> DataFrame:

@@ -115,14 +115,13 @@ def train_wait_time(
     tables: Mapping[str, DataFrame],
     settings: TrainingSettings = TrainingSettings(),
     *,
-    importance_rows: int = 100,
     require_gain: bool = True,
     verify: bool = True,
     verify_keys: bool = True,
 ) -> WaitTraining:
     """Pick the candidate with the lowest validation MAE, refit it and hold it to the median.
 
-    ``report`` rows are ``(stage, model, metric, value)``. With ``require_gain`` a model that does
+    ``report`` rows are ``(stage, model, metric, value)``, the gate's outcome among them. With ``require_gain`` a model that does
     not beat the constant median on the test period is an error.
     """
     label = "wait_minutes"
@@ -170,22 +169,27 @@ def train_wait_time(
         "wait-test-metrics",
     )
     test_mae = metric_values(tested, "mae", ["model"])
-    if require_gain and test_mae[selected] >= test_mae["median_baseline"]:
+    gain = test_mae[selected] < test_mae["median_baseline"]
+    if require_gain and not gain:
         raise TrainingDataError("the selected model does not beat the median on the test period")
     if selected == "ridge":
         names = feature_names(final_encoder, WAIT_FEATURES)
-        sample = parts.test.orderBy("queue_entered_at", "encounter_id").limit(importance_rows)
-        importance = linear_importance(encode(final_encoder, sample), point.coefficients, names)
+        importance = linear_importance(encode(final_encoder, parts.test), point.coefficients, names)
     else:
-        importance = shuffled_importance(
-            model, parts.test, ["queue_entered_at", "encounter_id"], importance_rows
-        )
+        importance = shuffled_importance(model, parts.test, ["queue_entered_at", "encounter_id"])
     return WaitTraining(
         model=model,
         selected=selected,
         boundaries=split_boundaries(parts.labelled, "queue_entered_at"),
         report=validated.withColumn("stage", F.lit("validation")).unionByName(
             tested.withColumn("stage", F.lit("test"))
+        ).unionByName(
+            tested.limit(1).select(
+                F.lit("gate").alias("stage"),
+                F.lit(selected).alias("model"),
+                F.lit("beats_median").alias("metric"),
+                F.lit(float(gain)).alias("value"),
+            )
         ),
         slices=slice_metrics(predictions, label, "predicted_wait_minutes"),
         importance=top_importance(importance),
