@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -13,6 +12,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from opsloom.functions.staging import materialize
+
+# Write a table to the shared folder and return a scan of it; it survives lost executors.
+staged = materialize
+
 # Rows and bytes of one Arrow batch handed to Python: a batch of very long texts stays small.
 BATCH_ROWS = 256
 BATCH_BYTES = 8 << 20
@@ -50,20 +54,6 @@ def map_batches(
     return frame.mapInArrow(function, schema)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder for written tables; the warehouse where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return root.rstrip("/") + "/opsloom-llm"
-
-
-def staged(frame: DataFrame, name: str) -> DataFrame:
-    """Write ``frame`` to the shared folder and return a scan of it; it survives lost executors."""
-    spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column as one array, and where each row starts (one more entry)."""
     filled = pc.fill_null(column, "").cast(pa.large_binary())

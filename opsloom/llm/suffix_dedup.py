@@ -307,22 +307,46 @@ def _sort_windows(pieces: DataFrame, parts: int) -> DataFrame:
             _, one = np.unique(high[decided], return_index=True)
             sent = np.concatenate([np.flatnonzero(undecided), decided[one]])
             out, high, low, undecided = out[sent], high[sent], low[sent], undecided[sent]
-            outer = [row[piece[out]], first[piece[out]] + step[out], np.zeros(len(out), np.int64), packed[piece[out]] & 0xFFFF]
-            none = np.zeros(len(a), np.uint64)
-            merged = [np.concatenate(pair) for pair in zip(spans, outer, strict=True)]
+            numbers = [row[piece[out]], first[piece[out]] + step[out], packed[piece[out]] & 0xFFFF, undecided.astype(np.int64)]
+            target = (high % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(target, kind="stable")
+            table = np.column_stack([high.view(np.int64), low.view(np.int64), *numbers])[order]
+            starts = np.flatnonzero(np.append(True, np.diff(target[order]) != 0)) if len(out) else np.zeros(0, np.int64)
+            blocks = [t.tobytes() for t in np.split(table, starts[1:])] if len(out) else []
+            size, none = len(spans[0]), [None] * len(blocks)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *map(pa.array, merged),
-                    pa.array(np.repeat([False, True], [len(a), len(out)])),
-                    pa.array(np.concatenate([np.zeros(len(a), bool), undecided])),
-                    _signed(np.concatenate([none, high])),
-                    _signed(np.concatenate([none, low])),
+                    *(pa.array([*c.tolist(), *none], pa.int64()) for c in spans),
+                    pa.array([*[None] * size, *target[order][starts].tolist()], pa.int32()),
+                    pa.array([*[None] * size, *blocks], pa.binary()),
                 ],
-                names=["row", "first", "more", "check", "across", "undecided", "high", "low"],
+                names=["row", "first", "more", "check", "part", "block"],
             )
 
-    schema = "row long, first long, more long, check long, across boolean, undecided boolean, high long, low long"
-    return map_batches(dealt, compare, schema)
+    return map_batches(dealt, compare, "row long, first long, more long, check long, part int, block binary")
+
+
+def _meet_across(blocks: DataFrame, parts: int) -> DataFrame:
+    """Undecided windows that equal a window sent from elsewhere.
+
+    Windows are dealt by their hash, and no bucket sends a text twice unless it is undecided, so
+    neither a hot anchor nor a hot window fills one task.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.frombuffer(b, np.int64).reshape(-1, 6) for batch in batches for b in batch.column(1).to_pylist()]
+        if not held:
+            return
+        table = np.concatenate(held)
+        table = table[np.lexsort((table[:, 1], table[:, 0]))]
+        same = _runs_of(table[:, 0], table[:, 1])
+        table = table[(np.bincount(same)[same] > 1) & (table[:, 5] == 1)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(table[:, 2].copy()), pa.array(table[:, 3].copy()), pa.array(np.zeros(len(table), np.int64)), pa.array(table[:, 4].copy())],
+            names=["row", "first", "more", "check"],
+        )
+
+    return map_batches(blocks.repartitionById(parts, "part"), meet, "row long, first long, more long, check long")
 
 
 def repeated_spans(spark: SparkSession, rows: DataFrame) -> DataFrame:
@@ -341,10 +365,8 @@ def repeated_spans(spark: SparkSession, rows: DataFrame) -> DataFrame:
     whole = decided.where(F.col("kind") != OPEN).selectExpr(
         "row", "shiftright(stretch, 32) as first", "shiftright(stretch, 24) & 255 as more", "stretch & 65535 as check"
     )
-    inner = compared.where("not across").select("row", "first", "more", "check")
-    across = compared.where("across")
-    twice = across.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
-    outer = across.where("undecided").join(twice, ["high", "low"], "left_semi").select("row", "first", "more", "check")
+    inner = compared.where("part is null").select("row", "first", "more", "check")
+    outer = _meet_across(compared.where("part is not null").select("part", "block"), parts)
     return whole.union(inner).union(outer)
 
 
