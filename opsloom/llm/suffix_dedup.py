@@ -98,13 +98,14 @@ def stretches(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
         yield row[first], begin + first - offsets[row[first]], last - first, at - first, lead, grams[at], content
 
 
-_ORDER = ("lead", "gram", "content", "row", "stretch")
+_ORDER = ("lead", "gram", "content", "stretch", "row")
 
 
 def _ordered(*columns: np.ndarray) -> np.ndarray:
     """Keys that compare as the numbers of ``_ORDER``, signed like Spark's own sort.
 
-    Row and place come last, so that any number of equal stretches can be split over ranges.
+    Place and row come last, so that any number of equal stretches can be split over ranges; the
+    place comes first of the two because a sampled text shows all its places.
     """
     wide = np.column_stack([c.view(np.uint64) ^ np.uint64(1 << 63) for c in columns]).astype(">u8")
     return np.ascontiguousarray(wide).view(f"S{8 * len(columns)}").ravel()
@@ -156,14 +157,14 @@ def _scan(rows: DataFrame, splitters: np.ndarray | None) -> DataFrame:
         for batch in batches:
             ids, check = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for row, first, more, anchor, lead, gram, content in stretches(batch.column(2)):
-                values = [lead, gram, content, ids[row], _pack(first, more, anchor, check[row])]
+                values = [lead, gram, content, _pack(first, more, anchor, check[row]), ids[row]]
                 columns, names = list(map(_signed, values)), list(_ORDER)
                 if shared is not None:
                     part = _place_among(shared.value, _ordered(*values))
                     columns, names = [*columns, pa.array(part)], [*names, "part"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "lead long, gram long, content long, row long, stretch long"
+    schema = "lead long, gram long, content long, stretch long, row long"
     return map_batches(rows, scan, schema if splitters is None else schema + ", part int")
 
 
@@ -196,10 +197,10 @@ def _sort_stretches(found: DataFrame, parts: int) -> DataFrame:
             keep = pa.array(np.flatnonzero(kind >= 0))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).take(keep) for c in range(5)), pa.array(kind.astype(np.int8)).take(keep)],
-                names=["lead", "gram", "content", "row", "stretch", "kind"],
+                names=[*_ORDER, "kind"],
             )
 
-    return map_batches(dealt, decide, "lead long, gram long, content long, row long, stretch long, kind byte")
+    return map_batches(dealt, decide, "lead long, gram long, content long, stretch long, row long, kind byte")
 
 
 def _cut(rows: DataFrame, wanted: DataFrame, splitters: np.ndarray) -> DataFrame:
@@ -228,7 +229,7 @@ def _cut(rows: DataFrame, wanted: DataFrame, splitters: np.ndarray) -> DataFrame
             places = np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], size)
             blob = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(data[places])])
             row = batch.column(0).to_numpy()[owner]
-            part = _place_among(shared.value, _ordered(lead, gram, content, row, packed))
+            part = _place_among(shared.value, _ordered(lead, gram, content, packed, row))
             yield pa.RecordBatch.from_arrays(
                 [*map(pa.array, (lead, gram, content, row, packed, kind)), blob.cast(pa.binary()), pa.array(part)],
                 names=["lead", "gram", "content", "row", "stretch", "kind", "bytes", "part"],
