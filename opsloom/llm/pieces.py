@@ -301,7 +301,9 @@ class Vocabulary:
             for s in range(min(states, end + 1)):
                 matrix[s] = leave(s)
             return matrix
-        middle = sum(self.known([self.words(text[first:last])])[w][1] for w in self.words(text[first:last]))
+        whole = self.words(text[first:last])
+        known = self.known([whole])
+        middle = sum(known[w][1] for w in whole)
         right = leave(last)
         for s in range(min(states, first + 1)):
             best, _ = self._paths(text[:first], s, first)
