@@ -129,7 +129,11 @@ _LINE_CONTRACT = contract(
                   CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'l_returnflag in (''A'', ''N'')' END,
                   CASE WHEN count(*) OVER (PARTITION BY l_orderkey) > 1 THEN 'unique: l_orderkey' END) AS row_error
          FROM lineitem),
-       whole AS (SELECT 'l_quantity >= 5; l_returnflag in (''A'', ''N''); unique: l_orderkey' AS quality_error)
+       whole AS (
+         SELECT concat_ws('; ', CASE WHEN bool_or(l_quantity < 5) THEN 'l_quantity >= 5' END,
+                  CASE WHEN bool_or(l_returnflag NOT IN ('A', 'N')) THEN 'l_returnflag in (''A'', ''N'')' END,
+                  CASE WHEN count(*) > count(DISTINCT l_orderkey) THEN 'unique: l_orderkey' END) AS quality_error
+         FROM lineitem)
        SELECT CASE WHEN row_error = '' THEN 'clean' ELSE 'quarantine' END AS side, row_error,
               CASE WHEN row_error <> '' THEN quality_error END AS quality_error,
               count(*) AS row_count, sum(l_orderkey)::BIGINT AS key_sum
