@@ -122,8 +122,13 @@ def prediction_counts(records: DataFrame) -> DataFrame:
 
 
 def occupancy_pivot(points: DataFrame, wards: Sequence[str]) -> DataFrame:
-    """Interval by ward matrix of the predicted ratio; naming the wards avoids a second scan."""
-    return points.groupBy("interval_start").pivot("ward_id", list(wards)).agg(
+    """Interval by ward matrix of the predicted ratio; naming the wards avoids a second scan.
+
+    A ward that is not named stops the query instead of vanishing from it.
+    """
+    named = F.coalesce(F.col("ward_id").isin(list(wards)), F.lit(True))
+    checked = points.where(F.assert_true(named, F.lit("a ward is missing from the list of wards")).isNull())
+    return checked.groupBy("interval_start").pivot("ward_id", list(wards)).agg(
         F.first("predicted_occupancy_ratio")
     )
 

@@ -68,18 +68,20 @@ def score_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        records, rejected = score_batch(
-            batch,
-            score,
-            features=features,
-            outputs=outputs,
-            rules=rules,
-            kind=kind,
-            model_version=model_version,
-        )
-        records.write.mode("overwrite").parquet(f"{log_path}/predictions/batch={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{log_path}/rejected/batch={batch_id}")
-        batch.unpersist()
+        try:
+            records, rejected = score_batch(
+                batch,
+                score,
+                features=features,
+                outputs=outputs,
+                rules=rules,
+                kind=kind,
+                model_version=model_version,
+            )
+            records.write.mode("overwrite").parquet(f"{log_path}/predictions/batch={batch_id}")
+            rejected.write.mode("overwrite").parquet(f"{log_path}/rejected/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         requests.writeStream.foreachBatch(write)

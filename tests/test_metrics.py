@@ -84,3 +84,12 @@ def test_peak_mae_and_coverage(spark):
     assert values(m.peak_mae(rows, "y", "p", ["g"]), "g") == {("a", "peak_mae"): 1.0}
     bounded = rows.withColumns({"lo": F.lit(0.0), "hi": F.lit(5.0)})
     assert values(m.interval_coverage(bounded, "y", "lo", "hi"))["interval_coverage"] == pytest.approx(6 / 11)
+
+
+def test_a_ward_outside_the_list_stops_the_pivot(spark):
+    from opsloom.operators.profile import occupancy_pivot
+
+    points = spark.sql("select timestamp'2026-01-01' as interval_start, w as ward_id, 0.5D as predicted_occupancy_ratio from values ('a'), ('b') t(w)")
+    assert occupancy_pivot(points, ["a", "b"]).first().asDict()["b"] == 0.5
+    with pytest.raises(Exception, match="missing from the list"):
+        occupancy_pivot(points, ["a"]).collect()
