@@ -19,7 +19,7 @@ staged = materialize
 
 # Rows and bytes of one Arrow batch handed to Python: a batch of very long texts stays small.
 BATCH_ROWS = 256
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD_1 = np.uint64(0xBF58476D1CE4E5B9)

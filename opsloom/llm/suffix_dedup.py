@@ -31,7 +31,7 @@ WINDOW, GRAM = 200, 32
 # Texts, and later open stretches, the splitters are taken from.
 SAMPLE_TEXTS, SAMPLE_STRETCHES = 2_000, 50_000
 # Bytes scanned at once, and stretches of a bucket sorted at once.
-SCAN_BYTES, SORT_ROWS, SORT_PIECES = 1 << 19, 1 << 16, 1 << 12
+SCAN_BYTES, SORT_ROWS, SORT_PIECES = 1 << 18, 1 << 15, 1 << 11
 
 _PLACES = (1 << 20) - 1  # place in a scan, in the low bits of a gram's hash
 REPEATED, OPEN, OPEN_REPEATED = 0, 1, 2
