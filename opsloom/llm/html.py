@@ -1,8 +1,9 @@
 """Main text of web pages by two-pass block rules.
 
-Pass one cuts a page into blocks and judges each by where it stands, its length, its share of stop
-words and its share of link text. Pass two gives blocks too short to judge the label of their
-nearest decided neighbours.
+Pass one cuts a page into blocks and judges each by its length, its share of stop words and its
+share of link text; standing inside an article or main element is further evidence. Pass two gives
+blocks too short to judge the label of their nearest decided neighbours. Only against a block tags
+and names decide alone: menus, forms, notices, adverts, comments and hidden elements are left out.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ STOP_WORDS = frozenset(
     """.split()
 )
 # Link text over this share makes a block a menu; shorter and longer blocks; shares of stop words.
-MAX_LINKS, SHORT, LONG, FEW_STOPS, MANY_STOPS = 0.33, 70, 200, 0.12, 0.2
+# Under the last share a text is in none of the languages, and the share tells nothing.
+MAX_LINKS, SHORT, LONG, FEW_STOPS, MANY_STOPS, NO_STOPS = 0.33, 70, 200, 0.12, 0.2, 0.02
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -43,6 +45,7 @@ _TOKEN = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|aria-hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden)\b(?!\s*=)""", re.I)
+_EDGES = ".,;:!?\"'()[]{}<>*#%$&/|_-–—«»‹›„“”‚‘’…¿¡"
 _PARTS = re.compile(r"[^a-z0-9]+")
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
@@ -72,9 +75,10 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Block:
     text: str
     linked: int
-    region: bool  # inside an article or main element
+    region: int  # number of the innermost article or main element around it, 0 for none
+    article: bool  # inside an article
     out: bool  # inside a menu, form, notice, advert, comment or the like
-    heading: bool
+    heading: int  # level of the heading it is, 0 for none
 
 
 def _hints(attributes: str) -> tuple[frozenset[str], bool]:
@@ -102,22 +106,23 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     linked = links = 0
-    # Open elements: tag, and the state to go back to at its end: region, out, header, heading.
-    stack: list[tuple[str, tuple[bool, bool, bool, bool]]] = []
-    region = out = header = heading = False
+    # Open elements: tag, and the state to go back to at its end: region, article, out, header, heading.
+    stack: list[tuple[str, tuple[int, bool, bool, bool, int]]] = []
+    region = regions = heading = 0
+    article = out = header = False
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
             # Of a header inside an article its headings belong to the article.
-            found.append(Block(text, linked, region, out or (header and not (region and heading)), heading))
+            found.append(Block(text, linked, region, article, out or (header and not (region and heading)), heading))
         parts.clear()
         linked = 0
 
     def leave(index: int) -> None:
-        nonlocal region, out, header, heading, links
-        region, out, header, heading = stack[index][1]
+        nonlocal region, article, out, header, heading, links
+        region, article, out, header, heading = stack[index][1]
         links -= sum(tag == "a" for tag, _ in stack[index:])
         del stack[index:]
 
@@ -160,17 +165,18 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[i][0] not in _INLINE:
                     break
-        stack.append((tag, (region, out, header, heading)))
+        stack.append((tag, (region, article, out, header, heading)))
         if tag == "a":
             links += 1
         names, hidden = _hints(attributes) if attributes and not attributes.isspace() else (frozenset(), False)
         if tag in _REGIONS and not names & _COMMENTS and not hidden:
-            region, header = True, False
+            regions += 1
+            region, article, header = regions, article or tag == "article", False
             out = out and any(t in _PLACES_OUT for t, _ in stack)
         elif tag not in ("html", "body"):
             out = out or hidden or tag in _PLACES_OUT or bool(names & _NAMES_OUT)
             header = header or tag == "header" or "header" in names and tag not in _INLINE
-        heading = heading or tag in _HEADINGS
+        heading = heading or (int(tag[1]) if tag in _HEADINGS else 0)
     if at < len(page):
         add(page[at:])
     close()
@@ -178,53 +184,105 @@ def blocks(page: str) -> list[Block]:
 
 
 def _judge(block: Block) -> bool | None:
-    """Pass one for a page without marked article: good, bad, or None where it can't be told."""
+    """Pass one: good, bad, or None where the text can't be told. A region lifts doubtful text."""
     if block.out:
         return False
     size = len(block.text)
     if block.linked > MAX_LINKS * size or block.text.startswith(("©", "(c) ")):
         return False
     words = block.text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    stops = sum(w.strip(_EDGES) in STOP_WORDS for w in words) / len(words)
     if size < SHORT:
-        return False if block.linked else None
-    if stops >= MANY_STOPS and size > LONG:
+        return False if block.linked and not block.region else None
+    if size > LONG and (stops >= MANY_STOPS or block.region and (stops >= FEW_STOPS or stops < NO_STOPS)):
         return True
-    return None if stops >= FEW_STOPS else False
+    return None if stops >= FEW_STOPS or block.region else False
 
 
-def main_text(page: str | None) -> str:
-    """Blocks of the article, one blank line between them; empty for null and for pages without one."""
-    if not page:
-        return ""
-    found = blocks(page)
-    if any(b.region and not b.out for b in found):
-        return "\n\n".join(b.text for b in found if b.region and not b.out)
-    labels = [_judge(b) for b in found]
-    before, last = [], None
-    for label in labels:
-        last = label if label is not None else last
-        before.append(last)
-    after, last = [], None
-    for label in reversed(labels):
-        last = label if label is not None else last
-        after.append(last)
-    after.reverse()
-    kept = []
-    for block, label, left, right in zip(found, labels, before, after, strict=True):
-        if label is None:
-            near = {x for x in (left, right) if x is not None}
+def _decided(labels: list[bool | None], seen: list[bool], groups: list[int]) -> list[int | None]:
+    """For each block the last one before it that is decided, seen and of the same group."""
+    last: dict[int, int] = {}
+    before = []
+    for i, (label, group) in enumerate(zip(labels, groups, strict=True)):
+        before.append(last.get(group))
+        if label is not None and seen[i]:
+            last[group] = i
+    return before
+
+
+def _neighbours(labels: list[bool | None], seen: list[bool], groups: list[int]) -> list[tuple[int | None, int | None]]:
+    """The nearest decided blocks of the same group before and after each block."""
+    ahead = _decided(labels[::-1], seen[::-1], groups[::-1])[::-1]
+    after = [None if i is None else len(labels) - 1 - i for i in ahead]
+    return list(zip(_decided(labels, seen, groups), after, strict=True))
+
+
+def _settle(found: list[Block], labels: list[bool | None]) -> list[bool]:
+    """Pass two: a label for every block."""
+    anywhere = [0] * len(found)
+    around = _neighbours(labels, [True] * len(found), anywhere)
+    # What was left out by its place says nothing about the text of a region beside it.
+    judged = [not b.out for b in found]
+    beside = _neighbours(labels, judged, anywhere)
+    inside = _neighbours(labels, judged, [b.region for b in found])
+    some_good = any(labels)
+    good_regions = {b.region for b, label in zip(found, labels, strict=True) if label}
+    settled = []
+    for i, block in enumerate(found):
+        label = labels[i]
+        if label is False and block.heading and block.region and not block.out:
+            # A title that is a link to its own page: it goes with good text right after it.
+            following = next((j for j in range(i + 1, len(found)) if judged[j]), None)
+            label = following is not None and labels[following] is True and found[following].region == block.region
+        if label is None and block.region:
+            label = _settle_in_region(found, labels, i, inside[i], beside[i], some_good, block.region in good_regions)
+        elif label is None:
+            left, right = around[i]
+            near = {labels[j] for j in (left, right) if j is not None}
             # Between a good and a bad block: a heading goes with what follows it, other text is
             # good if it is long enough to have stop words. With nothing decided all of it stays.
             if len(near) == 1:
                 label = near.pop()
             elif near:
-                label = bool(right) if block.heading else len(block.text) >= SHORT
+                label = labels[right] if block.heading else len(block.text) >= SHORT
             else:
                 label = True
-        if label:
-            kept.append(block.text)
-    return "\n\n".join(kept)
+        settled.append(bool(label))
+    return settled
+
+
+def _settle_in_region(
+    found: list[Block],
+    labels: list[bool | None],
+    i: int,
+    inside: tuple[int | None, int | None],
+    beside: tuple[int | None, int | None],
+    some_good: bool,
+    good_region: bool,
+) -> bool:
+    block = found[i]
+    # With no good text on the page what stands in regions is the best there is.
+    if not some_good or block.heading == 1 and good_region:
+        return True
+    own = inside != (None, None)
+    left, right = inside if own else beside
+    near = [j for j in (left, right) if j is not None]
+    values = {labels[j] for j in near}
+    if values == {True}:
+        # A region of undecided text at one side of a body outside articles is a teaser.
+        return own or len(near) == 2 or found[near[0]].article
+    if len(values) == 2:
+        return labels[right] is True if block.heading else own or len(block.text) >= SHORT
+    return False
+
+
+def main_text(page: str | None) -> str:
+    """The good blocks of a page, one blank line between them; empty for null and for pages without one."""
+    if not page:
+        return ""
+    found = blocks(page)
+    kept = _settle(found, [_judge(b) for b in found])
+    return "\n\n".join(b.text for b, keep in zip(found, kept, strict=True) if keep)
 
 
 def extract_main_text(frame: DataFrame, *, html: str = "html") -> DataFrame:

@@ -134,5 +134,28 @@ def test_main_text(spark):
     assert len(html.main_text(very_long)) == 399_999
 
 
+def test_main_text_judges_every_block():
+    long = "The cat is on the mat and it was there for the dog. " * 6
+    good = long.strip()
+    teaser = "<article><h3><a href=1>Some other page</a></h3><p>A few words of it.</p></article>"
+    bare = "<article><h3>Some other page</h3><p>A few words of it.</p></article>"
+    for beside in (teaser, teaser * 4, bare, bare * 3):
+        assert html.main_text(f"<div><h1>Title</h1><p>{long}</p><p>{long}</p></div>{beside}") == f"Title\n\n{good}\n\n{good}"
+        assert html.main_text(f"<main><h1>Title</h1><p>{long}</p>{beside}</main><footer>f</footer>") == f"Title\n\n{good}"
+    links = "".join(f"<li><a href={i}>Another page of the site {i}</a></li>" for i in range(5))
+    inside = f"<h1>Title</h1><p>{long}</p><p>Short.</p><p>{long}</p>"
+    wanted = f"Title\n\n{good}\n\nShort.\n\n{good}"
+    # A list of links without a telling class goes, in an article as anywhere; the heading of it too.
+    for page in (f"<article>{inside}<h2>More</h2><ul>{links}</ul></article>", f"<div>{inside}<h2>More</h2><ul>{links}</ul></div>"):
+        assert html.main_text(page) == wanted
+    # Regions are evidence: doubtful text stays in them, titles and by-lines do not lose it.
+    assert html.main_text(f"<article><h1>Title</h1><p><a href=1>An Author</a></p><p>{long}</p></article>") == f"Title\n\n{good}"
+    assert html.main_text(f"<article><h1><a href=1>Title</a></h1><p>{long}</p></article>") == f"Title\n\n{good}"
+    assert html.main_text(f"<main><h1>Title</h1><article><p>{long}</p></article></main>") == f"Title\n\n{good}"
+    foreign = "это текст на другом языке " * 12
+    assert html.main_text(f"<nav>x</nav><article><h1>Имя</h1><p>{foreign}</p></article>") == f"Имя\n\n{foreign.strip()}"
+    assert html.main_text("<nav>x</nav><article><p>Only this.</p></article>") == "Only this."
+
+
 def test_tokenizer_path_is_a_parameter():
     assert catalog.tokenizer_file("piece_bpe_32k.model") == open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read()
