@@ -184,3 +184,24 @@ def test_licenses(spark, documents, nothing):
     clean = licenses.scan_licenses(documents).collect()
     assert len(clean) == len(TEXTS) and not any(r.n_licenses for r in clean)
     assert licenses.scan_licenses(nothing).count() == 0
+
+
+def test_stacked_licenses_equal_the_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    from opsloom.llm import catalog
+
+    names, rng = sorted(licenses.TEMPLATES), np.random.default_rng(8)
+    stacks = [(a, b) for a in names for b in names if a != b]
+    texts = ["\n".join(licenses.TEMPLATES[n] for n in stack) for stack in stacks]
+    for k in range(150):
+        three = [licenses.TEMPLATES[names[i]] for i in rng.permutation(len(names))[:3]]
+        texts.append(" ".join([prose(k, 20), *three, prose(k + 500, 20)]))
+    half = licenses.TEMPLATES["ISC"].split()
+    texts.append(" ".join([*half[:15], prose(7, 80), *half[15:]]))  # in two places far apart
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: ",".join(r.licenses) for r in licenses.scan_licenses(frame).collect()}
+    database = duckdb.connect()
+    database.register("documents", frame.toArrow())
+    wanted = {row[0]: row[2] for row in database.execute(catalog.ORACLES["op8_licenses"]).fetchall()}
+    assert found == wanted
+    assert all(set(stack) <= set(found[i].split(",")) for i, stack in enumerate(stacks))
