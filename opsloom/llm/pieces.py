@@ -1,11 +1,16 @@
-"""SentencePiece encoding and decoding by max-plus dynamic programming.
+"""SentencePiece encoding and decoding: merges for BPE models, max-plus dynamic programming for unigram models.
 
-The best segmentation of a text into pieces is a longest path: scores add along a path, and the
-maximum is taken over paths. Both operations are associative as matrix products over (max, +), so
-giant documents are split into chunks. A chunk gives one matrix: the best score for each state at
-its left boundary (how far a piece reaches into it) and each at its right. The matrices of a
-document are combined in order, which fixes the state at every boundary, and then each chunk is
-traced back on its own.
+The kind a model file names decides. In a BPE model scores are ranks of merges, and adding them up
+means nothing: neighbouring pieces are merged in the order of their ranks. No merge joins two
+characters that stand side by side in no piece, so giant documents are split there and the parts
+encoded on their own.
+
+In a unigram model the best segmentation of a text into pieces is a longest path: scores add along
+a path, and the maximum is taken over paths. Both operations are associative as matrix products
+over (max, +), so giant documents are split into chunks. A chunk gives one matrix: the best score
+for each state at its left boundary (how far a piece reaches into it) and each at its right. The
+matrices of a document are combined in order, which fixes the state at every boundary, and then
+each chunk is traced back on its own.
 
 Inside a chunk words are solved together: at a boundary between a character and a following blank
 no piece of the vocabulary crosses, so the matrix there has one entry and a word's best path does
@@ -14,8 +19,10 @@ not depend on its neighbours.
 
 from __future__ import annotations
 
+import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,6 +37,7 @@ from opsloom.llm.common import finish, map_batches, mix, staged
 # Fixed values of the model format: kinds of pieces, and the mark that stands for a blank.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BLANK = "▁"
+UNIGRAM, BPE = 1, 2
 # An unknown character scores this much less than the worst piece.
 UNKNOWN_PENALTY = 10
 # Characters of a chunk; documents of one chunk need no matrix.
@@ -37,6 +45,8 @@ CHUNK = 1 << 15
 # Words a worker remembers, and characters of unknown words solved together.
 REMEMBERED, SOLVED_CHARACTERS = 1 << 18, 1 << 16
 NEVER = -(1 << 60)
+# Merges of words up to this many characters are looked for in a list, of longer ones in a heap.
+LISTED_CHARACTERS = 64
 _SLOT_BITS = 20
 
 
@@ -355,17 +365,125 @@ def boundary_states(matrices: list[np.ndarray]) -> list[int]:
     return states[::-1]
 
 
+class MergeVocabulary(Vocabulary):
+    """The pieces of a BPE model: of all neighbours the pair whose piece scores best is merged first."""
+
+    def __init__(self, model: bytes) -> None:
+        super().__init__(model)
+        if USER in self.kinds or UNUSED in self.kinds:
+            raise ValueError("BPE models with user-defined or unused pieces cannot be used")
+        self._coded: dict[str, bytes] = {}
+        self._ranks = {p: float(self.scores[i]) for p, i in self.ids.items()}
+        pairs = {(ord(a) << 21) | ord(b) for p in self.ids for a, b in zip(p, p[1:])}
+        self._pairs = np.array(sorted(pairs), np.int64)
+        self._known_characters = np.array(sorted(ord(p) for p in self.ids if len(p) == 1), np.int64)
+
+    def _index(self, pieces: list[str], ids: list[int]) -> None:
+        """Merges look pieces up whole, so beginnings need no table."""
+
+    def cuts(self, text: str) -> np.ndarray:
+        """The places inside a normalized text that no merge crosses, in order."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        free = ~np.isin((codes[:-1] << 21) | codes[1:], self._pairs)
+        if not self.byte_ids:
+            # Unknown characters side by side become one unknown piece.
+            known = np.isin(codes, self._known_characters)
+            free &= known[:-1] | known[1:]
+        return np.flatnonzero(free) + 1
+
+    def words(self, text: str) -> list[str]:
+        if self.splits or not text:
+            return super().words(text)
+        bounds = [0, *self.cuts(text).tolist(), len(text)]
+        return [text[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        return self.encode_lists([self.words(self.normalized(t)) if t else [] for t in texts])
+
+    def encode_lists(self, lists: list[list[str]]) -> list[bytes]:
+        """The ids of each list of words."""
+        coded = self._coded
+        missing = set().union(*lists).difference(coded)
+        if len(coded) + len(missing) > REMEMBERED:
+            coded.clear()
+            missing = set().union(*lists)
+        for word in missing:
+            coded[word] = self._code(word)
+        return [b"".join(map(coded.__getitem__, words)) for words in lists]
+
+    def _code(self, word: str) -> bytes:
+        parts = self._listed(word) if len(word) <= LISTED_CHARACTERS else self._heaped(word)
+        ids = [self.ids.get(p, -1) for p in parts]
+        if -1 not in ids:
+            return array("i", ids).tobytes()
+        lengths = np.array([len(p) for p in parts])
+        return self._with_bytes(np.array(ids, np.int32), np.cumsum(lengths) - lengths, word).tobytes()
+
+    def _listed(self, word: str) -> list[str]:
+        parts, rank = list(word), self._ranks.get
+        scores = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == NEVER:
+                break
+            i = scores.index(best)  # of equal scores the leftmost
+            merged = parts[i] + parts.pop(i + 1)
+            parts[i] = merged
+            del scores[i]
+            if i:
+                scores[i - 1] = rank(parts[i - 1] + merged, NEVER)
+            if i < len(scores):
+                scores[i] = rank(merged + parts[i + 1], NEVER)
+        return parts
+
+    def _heaped(self, word: str) -> list[str]:
+        parts: list[str] = list(word)
+        before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
+        heap: list[tuple[float, int, int, str]] = []
+
+        def offer(left: int, right: int) -> None:
+            if left >= 0 and right < len(parts):
+                merged = parts[left] + parts[right]
+                score = self._ranks.get(merged)
+                if score is not None:
+                    heapq.heappush(heap, (-score, left, right, merged))
+
+        for i in range(len(parts) - 1):
+            offer(i, i + 1)
+        while heap:
+            _, left, right, merged = heapq.heappop(heap)
+            # One of the two has been merged with another part since.
+            if not parts[left] or not parts[right] or parts[left] + parts[right] != merged:
+                continue
+            parts[left], parts[right] = merged, ""
+            after[left] = after[right]
+            if after[left] < len(parts):
+                before[after[left]] = left
+            offer(before[left], left)
+            offer(left, after[left])
+        return [p for p in parts if p]
+
+
+def model_kind(model: bytes) -> int:
+    """The kind of model the file was trained as; a file without it is a unigram model."""
+    return next((int(dict(_fields(value)).get(3, UNIGRAM)) for field, value in _fields(model) if field == 2), UNIGRAM)
+
+
 @lru_cache(maxsize=2)
 def vocabulary(model: bytes) -> Vocabulary:
-    return Vocabulary(model)
+    kind = model_kind(model)
+    if kind not in (UNIGRAM, BPE):
+        raise ValueError("only unigram and BPE models can be used")
+    return MergeVocabulary(model) if kind == BPE else Vocabulary(model)
 
 
 def encode_texts(frame: DataFrame, model: bytes, *, text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """``frame`` with ``pieces``, the ids of its texts as little-endian 32-bit numbers, and ``n_pieces``.
 
-    Segmentations are those of greatest total score over the model's pieces, as its unigram reading
-    gives them, whatever kind of model the file was trained as. Null and empty texts have no
-    pieces. Texts longer than ``chunk`` characters are split, and their chunks dealt to all tasks.
+    Segmentations are those of the kind of model the file was trained as: by its merges for BPE, of
+    greatest total score for unigram. Null and empty texts have no pieces. Texts longer than
+    ``chunk`` characters are split, and their chunks dealt to all tasks; a stretch in which every
+    place may be crossed by a merge stays in one chunk.
     Other columns are kept; columns of the two names are replaced. Repeated rows are encoded alike.
     """
     spark = frame.sparkSession
@@ -384,28 +502,43 @@ def encode_texts(frame: DataFrame, model: bytes, *, text: str = "text", chunk: i
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary()), counts], names=[*kept, "pieces", "n_pieces"])
 
     short = map_batches(source.where(~long), encode, f"{fields}, pieces binary, n_pieces long")
+    merging = model_kind(model) == BPE
     giants = source.where(long)
     if giants.isEmpty():
         return short
     giants = giants.withColumns({"row_a": F.xxhash64(F.col(f"`{text}`")), "row_b": F.hash(F.col(f"`{text}`"))})
     texts = giants.select("row_a", "row_b", F.col(f"`{text}`").alias("text"))
 
+    def chunk_row(batch: pa.RecordBatch, i: int, number: int, part: str, size: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(c).slice(i, 1) for c in (0, 1)), pa.array([number]), pa.array([part]), pa.array([size])],
+            names=["row_a", "row_b", "chunk", "part", "size"],
+        )
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(shared.value)
         for batch in batches:
             for i, whole in enumerate(batch.column(2).to_pylist()):
                 whole = pieces.normalized(whole)
                 begin = number = 0
+                free = pieces.cuts(whole) if merging else None
                 while begin < len(whole):
                     end = min(len(whole), begin + chunk)
+                    if merging:
+                        if end < len(whole):
+                            last = int(np.searchsorted(free, end, side="right")) - 1
+                            if last >= 0 and free[last] > begin:
+                                end = int(free[last])
+                            else:
+                                end = int(free[last + 1]) if last + 1 < len(free) else len(whole)
+                        yield chunk_row(batch, i, number, whole[begin:end], end - begin)
+                        begin, number = end, number + 1
+                        continue
                     # At a place no piece crosses if there is one, so that ties fall as in one piece.
                     cuts = pieces.safe_cuts(whole[begin : end + 1], end - begin + 1) if end < len(whole) else None
                     end = begin + cuts[1] if cuts else end
                     part = whole[begin : end + pieces.longest - 1]
-                    yield pa.RecordBatch.from_arrays(
-                        [*(batch.column(c).slice(i, 1) for c in (0, 1)), pa.array([number]), pa.array([part]), pa.array([end - begin])],
-                        names=["row_a", "row_b", "chunk", "part", "size"],
-                    )
+                    yield chunk_row(batch, i, number, part, end - begin)
                     begin, number = end, number + 1
 
     chunks = map_batches(texts, split, "row_a long, row_b int, chunk long, part string, size long")
@@ -424,6 +557,12 @@ def encode_texts(frame: DataFrame, model: bytes, *, text: str = "text", chunk: i
         states = boundary_states([np.frombuffer(m, np.float64).reshape(size, size) for m in group["matrix"]])
         return group[["row_a", "row_b", "chunk"]].assign(state_in=states[:-1], state_out=states[1:])
 
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = vocabulary(shared.value)
+        for batch in batches:
+            ids = pa.array(pieces.encode_lists([pieces.words(p) for p in batch.column(3).to_pylist()]), pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], ids], names=["row_a", "row_b", "chunk", "ids"])
+
     matrices = map_batches(chunks, transfer, "row_a long, row_b int, chunk long, matrix binary")
     # A document's matrices are 2 KB a chunk, a small share of its text.
     states = matrices.groupBy("row_a", "row_b").applyInPandas(scan, "row_a long, row_b int, chunk long, state_in long, state_out long")
@@ -436,7 +575,8 @@ def encode_texts(frame: DataFrame, model: bytes, *, text: str = "text", chunk: i
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], ids], names=["row_a", "row_b", "chunk", "ids"])
 
     ordered = chunks.join(states, ["row_a", "row_b", "chunk"]).select("row_a", "row_b", "chunk", "part", "size", "state_in", "state_out")
-    traced = map_batches(ordered, trace, "row_a long, row_b int, chunk long, ids binary")
+    coded = "row_a long, row_b int, chunk long, ids binary"
+    traced = map_batches(chunks, merge, coded) if merging else map_batches(ordered, trace, coded)
     lists = traced.groupBy("row_a", "row_b").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -82,6 +82,26 @@ def test_pieces_equal_the_library_read_as_unigram():
         assert score == sum(vocabulary.scores[i] for i in library.encode(word))
 
 
+def test_pieces_equal_the_library_by_its_merges(spark, documents):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    model = catalog.tokenizer_file("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    words = [" implementation", "x" * 700, "ab" * 400, " " * 99 + "a", "a   b  ", "naïve größer 中文 😀", "pneumonoultramicroscopic" * 9]
+    frame = documents.select("text").union(spark.createDataFrame([(w,) for w in words], "text string"))
+    for chunk in (1 << 15, 64):
+        for row in pieces.encode_texts(frame, model, chunk=chunk).collect():
+            assert list(memoryview(row.pieces).cast("i")) == library.encode(row.text or ""), row.text[:50]
+    merging = pieces.vocabulary(model)
+    for word in ("representationrepresentative", "▁▁▁▁▁xxxxxxxxxxx", "ab" * 40):
+        assert merging._listed(word) == merging._heaped(word)
+    # A file marked as a unigram model takes the matrices, whole and in chunks.
+    at = model.index(b"\x18\x02\x20\x80\xfa\x01")
+    unigram = model[: at + 1] + b"\x01" + model[at + 2 :]
+    assert pieces.model_kind(unigram) == pieces.UNIGRAM and pieces.model_kind(model) == pieces.BPE
+    found = [{(r.text, bytes(r.pieces)) for r in pieces.encode_texts(documents, unigram, chunk=c).collect()} for c in (1 << 15, 64)]
+    assert found[0] == found[1]
+
+
 def test_quality_learns_and_scores_every_row(spark, documents, nothing):
     good = [(i, " ".join(f"word{j * i % 97} the of" for j in range(40)) + ".", 1) for i in range(60)]
     bad = [(100 + i, " ".join(f"WORD{j * i % 97}!!" for j in range(40)), 0) for i in range(60)]
