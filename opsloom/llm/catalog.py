@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import decontaminate, fingerprints, html, language, licenses, near_dedup, pieces, quality, suffix_dedup, token_counts
+from opsloom.llm import decontaminate, fingerprints, html, language, licenses, near_dedup, periodic_runs, pieces, quality, suffix_dedup, token_counts
 from opsloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,12 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.run_digests(periodic_runs.find_runs(periodic_runs.with_periodic_tails(documents)))
+
+
 ORACLES["op2_decontamination"] = r"""
 WITH texts AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
