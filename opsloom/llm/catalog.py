@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import decontaminate, fingerprints, html, language, licenses, near_dedup, periodic_runs, pieces, quality, suffix_dedup, token_counts
+from opsloom.llm import decontaminate, fingerprints, html, language, licenses, near_dedup, periodic_runs, pieces, quality, suffix_dedup, token_counts, toxicity
 from opsloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,15 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.held_out("doc_id", 5, 0)
+    model = toxicity.fit_toxicity(documents, table(spark, sf_dir, "labels").where(~out))
+    scored = toxicity.score_toxicity(documents.withColumn("held_out", out), model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
