@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import decontaminate, fingerprints, html, language, licenses, near_dedup, periodic_runs, pieces, quality, suffix_dedup, token_counts, toxicity
+from opsloom.llm import collocations, decontaminate, fingerprints, html, language, licenses, near_dedup, periodic_runs, pieces, quality, suffix_dedup, token_counts, toxicity
 from opsloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,11 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 @query
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -158,6 +163,36 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM texts LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, ws[i:i + k - 1] AS p
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM pieces, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k)),
+counts AS (SELECT lang, k, p, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+held AS (
+  SELECT DISTINCT c.lang, c.k, c.p FROM counts c JOIN (
+    SELECT lang, k - 1 AS k, p[1:k - 1] AS p, a FROM counts UNION ALL SELECT lang, k - 1, p[2:k], a FROM counts) w
+  ON c.lang = w.lang AND c.k = w.k AND c.p = w.p AND w.a >= c.a),
+cuts AS (
+  SELECT c.lang, c.p, c.a, x.a AS l, y.a AS r, n, j,
+         (1000::HUGEINT * c.a::HUGEINT * n::HUGEINT) // (x.a::HUGEINT * y.a::HUGEINT) AS score
+  FROM (SELECT lang, k, p, a, unnest(range(1, k)) AS j FROM counts WHERE k > 1) c
+  JOIN counts x ON x.lang = c.lang AND x.k = c.j AND x.p = c.p[1:c.j]
+  JOIN counts y ON y.lang = c.lang AND y.k = c.k - c.j AND y.p = c.p[c.j + 1:c.k]
+  JOIN totals t ON t.lang = c.lang
+  ANTI JOIN held h ON h.lang = c.lang AND h.k = c.k AND h.p = c.p),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, p, a, l, r, n, score FROM best)
+SELECT lang, rank, array_to_string(p, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
 
 def _license_sql() -> str:
     quoted = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in licenses.TEMPLATES.items())
