@@ -1,11 +1,16 @@
-"""Exact order statistics that never gather a group.
+"""Exact order statistics that never gather a group, by selection over counted slots.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one buffer, which a
-hot group of continuous values overflows. Here the edges of a bounded sketch cut each group into
-segments, narrow ones around the wanted ranks. Rows are counted exactly per segment, the counts
-tell which segment holds a rank, and only the rows of those segments are ordered, each segment in
-a task of its own. The sketch decides how much is ordered, never what is returned, and small and
-large groups take the same path.
+hot group of continuous values overflows. Here values are mapped to slots by a function that never
+decreases, rows are counted per group and slot, and the counts tell which slot holds a wanted rank,
+with its least and greatest value. The first slots are steps of the logarithm, so any range of
+magnitudes fits; only rows of the chosen slots are read on, and each later round cuts what is left
+of a slot's range into ``SLOTS`` equal parts. A rank is found once its slot holds a single value.
+
+The input is read twice, whatever its order or distribution. Doubles and longs need four counts at
+most, since every round keeps one part in ``SLOTS`` of a slot's range; the usual number is two. All
+group sizes take the same path, and the size of the generated code depends on neither the number of
+ranks nor the data.
 """
 
 from __future__ import annotations
@@ -16,21 +21,50 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank error of the sketch is n / SKETCH_ACCURACY; the narrow segments are as wide.
-SKETCH_ACCURACY = 20_000
-NARROW = (-2, -1, 1, 2)
-# Wide segments over the whole group.
-WIDE = 8
+from opsloom.functions.staging import materialize
+
+# Steps of the natural logarithm in the first count, and parts of a range in the later ones.
+LOG_STEPS = 1 << 13
+SLOTS = 1 << 16
+# Logarithms of doubles lie between these bounds; zero, infinities and NaN get slots of their own.
+_LOG_SPAN = 750.0
 
 
 @dataclass(frozen=True)
 class Rank:
-    """A zero-based rank, as SQL over the group size ``n``, near fraction ``near`` of the group."""
+    """A zero-based rank, as SQL over the group size ``n``."""
 
-    near: float
     position: str
 
 
+def _first_slot(value: Column) -> Column:
+    """A number that never decreases with the value, NaN last."""
+    x = value.cast("double")
+    log = F.least(F.ln(F.abs(x)), F.lit(_LOG_SPAN)) + F.lit(_LOG_SPAN)
+    signed = F.when(x == 0, 0.0).otherwise(F.signum(x) * log)
+    return F.when(F.isnan(x), F.lit(1 << 30).cast("long")).otherwise(F.floor(signed * LOG_STEPS))
+
+
+def _holders(counted: DataFrame, inside: Sequence[str], ranks: Sequence[Rank]) -> DataFrame:
+    """The slots of each group that hold a rank, one row per rank.
+
+    ``counted`` has one row per slot; slots are numbered inside ``inside``, which at first is the
+    group itself. Later rounds know the group size ``n``, the ranks that are still open there and
+    the rows before the range.
+    """
+    order = Window.partitionBy(*inside).orderBy("_slot")
+    upto = F.sum("_rows").over(order)
+    if "n" not in counted.columns:
+        size = F.sum("_rows").over(Window.partitionBy(*inside))
+        counted = counted.withColumns({"n": size, "_before": upto - F.col("_rows")})
+        wanted = F.array(*[F.struct(F.lit(i).alias("rank"), F.expr(f"bigint({r.position})").alias("at")) for i, r in enumerate(ranks)])
+        counted = counted.withColumn("_ranks", wanted)
+    else:
+        counted = counted.withColumn("_before", F.col("_start") + upto - F.col("_rows"))
+    held = F.expr("filter(_ranks, r -> r.at >= _before and r.at < _before + _rows)")
+    return counted.withColumn("_ranks", held).where(F.size("_ranks") > 0)
+
+
 def values_at_ranks(
     frame: DataFrame,
     keys: Sequence[str],
@@ -43,49 +77,44 @@ def values_at_ranks(
 
     Groups with a null key or without values give no row. Without ``keys`` the whole table is
     one group, and an empty table gives no row. ``few_groups`` is for keys whose number the
-    caller has proven small (columns of a table, candidate models, tree leaves): their edges
-    are broadcast. Otherwise the engine decides by the size it measures.
+    caller has proven small (columns of a table, candidate models, tree leaves): their chosen
+    slots are broadcast. Otherwise the engine decides by the size it measures.
     """
     keys = list(keys)
-    near = {min(1.0, max(0.0, r.near + step / SKETCH_ACCURACY)) for r in ranks.values() for step in NARROW}
-    probes = sorted(near | {i / WIDE for i in range(1, WIDE)})
     known = " and ".join(f"`{c}` is not null" for c in [*keys, "_value"])
     rows = frame.select(*keys, F.col(value).alias("_value")).where(known)
-    edges = rows.groupBy(*keys).agg(
-        F.expr("count(*) as n"), F.percentile_approx("_value", probes, SKETCH_ACCURACY).alias("_edge")
-    )
-    if keys:
-        # Every row has edges; the left join keeps the rows from being the broadcast side.
-        placed = rows.join(F.broadcast(edges) if few_groups else edges, keys, "left")
-    else:
-        # One row of edges: as literals they fold into the scan.
-        one = edges.first()
-        kind = frame.schema[value].dataType
-        cuts = [F.lit(edge).cast(kind) for edge in one._edge or [None] * len(probes)]
-        placed = rows.withColumns({"n": F.lit(one.n).cast("bigint"), "_edge": F.array(*cuts)})
-    # A segment holds the values above its edge, up to and with the next one.
-    segment = F.expr(" + ".join(f"int(_value > _edge[{i}])" for i in range(len(probes))))
-    placed = placed.select(*keys, "n", "_value", segment.alias("_segment"))
-    counted = placed.groupBy(*keys, "n", "_segment").agg(F.expr("count(*) as _rows"))
-    # One row per segment of a group, whatever its size.
-    upto = F.sum("_rows").over(Window.partitionBy(*keys).orderBy("_segment"))
-    counted = counted.withColumn("_before", upto - F.col("_rows"))
-
-    def inside(rank: Rank, before: str, rows: str) -> str:
-        return f"{rank.position} >= {before} and {rank.position} < {before} + {rows}"
-
-    holds = " or ".join(f"({inside(rank, '_before', '_rows')})" for rank in ranks.values())
-    wanted = counted.where(holds).select(*keys, "_segment", "_before")
-    cells = placed.join(wanted, [*keys, "_segment"]).groupBy(*keys, "n", "_segment", "_before", "_value")
-    cells = cells.agg(F.expr("count(*) as _count"))
-    order = Window.partitionBy(*keys, "_segment").orderBy("_value")
-    ranked = cells.withColumn("_first", F.col("_before") + F.sum("_count").over(order) - F.col("_count"))
-
-    def pick(name: str, rank: Rank) -> Column:
-        return F.expr(f"max(if({inside(rank, '_first', '_count')}, _value, null)) as `{name}`")
-
-    picks = [pick(name, rank) for name, rank in ranks.items()]
-    return ranked.groupBy(*keys, "n").agg(*picks).select(*keys, "n", *ranks)
+    rows = rows.withColumn("_slot", _first_slot(F.col("_value")))
+    sizes = [F.count("*").alias("_rows"), F.min("_value").alias("_low"), F.max("_value").alias("_high")]
+    inside = keys
+    kept: list[DataFrame] = []
+    while True:
+        counted = rows.groupBy(*inside, "_slot", *(() if inside is keys else ("n", "_start", "_ranks")))
+        # One row per group and rank; written, because the rows are narrowed by it and it is read back.
+        chosen = materialize(_holders(counted.agg(*sizes), inside, list(ranks.values())), "ranks")
+        kept.append(chosen.where("_low <=> _high").select(*keys, "n", F.col("_low").alias("_value"), "_ranks"))
+        still = chosen.where("not (_low <=> _high)")
+        if still.isEmpty():
+            break
+        still = still.select(
+            *(F.col(c).alias(f"_of_{c}") for c in [*inside, "_slot"]),
+            F.struct("_low", "_high").alias("_left"), "n", F.col("_before").alias("_start"), "_ranks",
+        )
+        same = [F.col(c) == F.col(f"_of_{c}") for c in [*inside, "_slot"]]
+        narrowed = rows.select(*inside, "_slot", "_value").join(F.broadcast(still) if few_groups or not keys else still, same)
+        narrowed = narrowed.select(*keys, "_value", F.col("_left").alias("_range"), "n", "_start", "_ranks")
+        # The second and last look at the input; later rounds read the written rows.
+        rows = materialize(narrowed, "rank-rows")
+        low, high = F.col("_range._low"), F.col("_range._high")
+        part = (F.col("_value") - low).cast("double") / (high - low).cast("double")
+        rows = rows.withColumn("_slot", F.floor(part * (SLOTS - 1)))
+        inside = [*keys, "_range"]
+    found = kept[0]
+    for more in kept[1:]:
+        found = found.union(more)
+    entries = F.transform("_ranks", lambda r: F.struct(r["rank"].alias("rank"), F.col("_value").alias("value")))
+    listed = found.select(*keys, "n", F.explode(entries).alias("_entry")).groupBy(*keys, "n")
+    by_rank = listed.agg(F.map_from_entries(F.collect_list("_entry")).alias("_at"))
+    return by_rank.select(*keys, "n", *(F.col("_at")[F.lit(i)].alias(name) for i, name in enumerate(ranks)))
 
 
 def _quoted(name: str) -> str:
@@ -105,8 +134,8 @@ def exact_percentiles(
     results = []
     for name, p in points.items():
         position = f"((n - 1) * {p!r}D)"
-        ranks[f"_lo_{name}"] = Rank(p, f"floor({position})")
-        ranks[f"_hi_{name}"] = Rank(p, f"ceil({position})")
+        ranks[f"_lo_{name}"] = Rank(f"floor({position})")
+        ranks[f"_hi_{name}"] = Rank(f"ceil({position})")
         low, high = f"double(`_lo_{name}`)", f"double(`_hi_{name}`)"
         share = f"({position} - floor({position}))"
         # Anchor on the nearer end, so equal neighbours give exactly that value.

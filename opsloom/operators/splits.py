@@ -71,7 +71,7 @@ def split_points(
         times,
         [],
         "_t",
-        {"train_end": Rank(train_fraction, train), "validation_end": Rank(both, validation)},
+        {"train_end": Rank(train), "validation_end": Rank(validation)},
     )
 
 
@@ -178,13 +178,13 @@ def _id_number(column: str, step: int) -> Column:
 def _id_at(rows: DataFrame, column: str, index: int, n: int) -> Column:
     """Condition that holds for the ids up to the one at ``index`` among the ``n`` rows, in id order."""
     if isinstance(rows.schema[column].dataType, T.IntegralType):
-        return F.col(column) <= F.lit(_at(rows, column, index, n))
+        return F.col(column) <= F.lit(_at(rows, column, index))
     longest = rows.agg(F.max(F.octet_length(F.col(column).cast("binary")))).first()[0] or 0
     steps = longest // ID_BYTES + 1
     below, equal = F.lit(False), F.lit(True)
     for step in range(steps):
         numbered = rows.where(equal).withColumn("_number", _id_number(column, step))
-        cut = F.lit(_at(numbered, "_number", index, n))
+        cut = F.lit(_at(numbered, "_number", index))
         sizes = numbered.agg(F.count_if(F.col("_number") < cut).alias("less"), F.count_if(F.col("_number") == cut).alias("same")).first()
         below = below | (equal & (_id_number(column, step) < cut))
         equal = equal & (_id_number(column, step) == cut)
@@ -205,7 +205,7 @@ def first_rows(frame: DataFrame, value: Column, tie: str, share: Callable[[int],
     k = min(share(n), n)
     if k <= 0:
         return F.lit(False)
-    cut = F.lit(_at(rows, "_order", k - 1, n))
+    cut = F.lit(_at(rows, "_order", k - 1))
     sizes = rows.agg(
         F.count_if(F.col("_order") < cut).alias("before"),
         F.count_if(F.col("_order") == cut).alias("ties"),
@@ -220,9 +220,8 @@ def first_rows(frame: DataFrame, value: Column, tie: str, share: Callable[[int],
     return F.coalesce((value < cut) | ((value == cut) & first), F.lit(False))
 
 
-def _at(rows: DataFrame, column: str, index: int, n: int) -> float | int:
-    near = index / max(n - 1, 1)
-    return values_at_ranks(rows, [], column, {"at": Rank(near, str(index))}).first().at
+def _at(rows: DataFrame, column: str, index: int) -> float | int:
+    return values_at_ranks(rows, [], column, {"at": Rank(str(index))}).first().at
 
 
 def fraction_split(frame: DataFrame, time_column: str, tie: str, fraction: float = 0.7) -> DataFrame:
@@ -239,7 +238,7 @@ def capacity_threshold(scores: DataFrame, probability: str, fraction: float) ->
     """One row: the ``max(1, int(n * fraction))``-th largest probability."""
 
     from_below = f"n - greatest(1, floor(double(n) * {float(fraction)!r}D))"
-    found = values_at_ranks(scores, [], probability, {"threshold": Rank(1 - fraction, from_below)})
+    found = values_at_ranks(scores, [], probability, {"threshold": Rank(from_below)})
     return found.select("threshold")
 
 

@@ -21,9 +21,10 @@ def skewed(spark):
     return frame, spark.createDataFrame(frame).repartition(6)
 
 
-@pytest.mark.parametrize("accuracy", [20, 2_000, 20_000])
-def test_percentiles_equal_numpy(skewed, monkeypatch, accuracy):
-    monkeypatch.setattr(ranks, "SKETCH_ACCURACY", accuracy)
+@pytest.mark.parametrize(("steps", "slots"), [(ranks.LOG_STEPS, ranks.SLOTS), (1, 4), (16, 100)])
+def test_percentiles_equal_numpy(skewed, monkeypatch, steps, slots):
+    monkeypatch.setattr(ranks, "LOG_STEPS", steps)
+    monkeypatch.setattr(ranks, "SLOTS", slots)
     local, frame = skewed
     points = {"p0": 0.0, "p10": 0.1, "p33": 0.333, "p50": 0.5, "p90": 0.9, "p100": 1.0}
     got = exact_percentiles(frame, ["key"], "value", points).toPandas().set_index("key")
@@ -47,13 +48,13 @@ def test_equal_neighbours_give_that_value(spark):
 
 def test_values_at_ranks(skewed):
     local, frame = skewed
-    row = values_at_ranks(frame, [], "id", {"a": Rank(0.0, "0"), "b": Rank(0.5, "n div 2")}).first()
+    row = values_at_ranks(frame, [], "id", {"a": Rank("0"), "b": Rank("n div 2")}).first()
     assert (row.a, row.b) == (0, 30_000)
 
 
-def test_a_wrong_guess_of_the_place_costs_time_only(skewed):
+def test_first_and_last(skewed):
     local, frame = skewed
-    row = values_at_ranks(frame, [], "value", {"a": Rank(0.9, "0"), "b": Rank(0.1, "n - 1")}).first()
+    row = values_at_ranks(frame, [], "value", {"a": Rank("0"), "b": Rank("n - 1")}).first()
     assert (row.a, row.b) == (local.value.min(), local.value.max())
 
 
@@ -65,6 +66,34 @@ def test_outlier_and_heavy_tail(spark):
     assert (row.p50, row.p99, row.p100) == pytest.approx(tuple(want), rel=1e-12)
 
 
+def test_close_and_odd_numbers(spark):
+    """Neighbouring doubles, denormal ones, both signs, zeros, infinities and NaN keep their order."""
+    near = [1.0]
+    for _ in range(40):
+        near.append(float(np.nextafter(near[-1], 2)))
+    odd = [float("-inf"), -1e308, -2.5, -5e-324, -0.0, 0.0, 5e-324, 1e-300, 1e308, float("inf"), float("nan")]
+    values = sorted(near + odd[:-1]) + odd[-1:]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    named = {f"r{i}": Rank(str(i)) for i in range(len(values))}
+    row = values_at_ranks(frame.repartition(5), [], "v", named).first()
+    np.testing.assert_array_equal([row[name] for name in named], values)
+
+
+def test_long_numbers(spark):
+    """Longs that are one double apart from their neighbours, and the ends of the type."""
+    values = sorted({-(2**63), 2**63 - 1, *range(2**62, 2**62 + 50), *range(-3, 4), *(1_700_000_000_000_000 + 7 * i for i in range(500))})
+    frame = spark.createDataFrame([(v, "k") for v in values], "v long, k string")
+    named = {f"r{i}": Rank(str(i)) for i in range(len(values))}
+    row = values_at_ranks(frame, ["k"], "v", named).first()
+    assert [row[name] for name in named] == values and row.n == len(values)
+
+
+def test_decimals_and_null_keys(spark):
+    frame = spark.sql("select cast(id as decimal(12,2)) / 4 as v, nullif(id % 3, 0) as k from range(300)")
+    got = {r.k: (r.n, float(r.a)) for r in values_at_ranks(frame, ["k"], "v", {"a": Rank("n - 1")}).collect()}
+    assert got == {1: (100, 298 / 4), 2: (100, 299 / 4)}
+
+
 @pytest.mark.parametrize("include", [True, False])
 def test_running_totals(skewed, include):
     local, frame = skewed
