@@ -123,12 +123,11 @@ def missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "duplicate_rate",
-    """SELECT round(1 - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
+    """SELECT round(1 - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem))
               / (SELECT count(*) FROM lineitem), 6) AS duplicate_rate""",
 )
 def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = views.driver_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return rounded(mon.duplicate_rate(items))
+    return rounded(mon.duplicate_rate(views.driver_table(spark, sf_dir, "lineitem")))
 
 
 def _metrics(frame: DataFrame, factor: float) -> DataFrame:
@@ -195,9 +194,9 @@ _CHECKS = f"""{_ALL_SQL}, {_DEGRADED},
         FROM degradation)"""
 
 
-def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _report(spark: SparkSession, sf_dir: str) -> mon.MonitoringReport:
     old, new = _sides(spark, sf_dir)
-    return mon.monitoring_checks(old, new, *_metric_tables(spark, sf_dir), _REPORT_COLUMNS)
+    return mon.monitoring_report(old, new, *_metric_tables(spark, sf_dir), _REPORT_COLUMNS)
 
 
 @query(
@@ -206,14 +205,16 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
                          observed > threshold AS alert FROM checks""",
 )
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_report(spark, sf_dir))
+    return rounded(_report(spark, sf_dir).checks)
 
 
 @query(
     "monitoring_status",
     f"""{_CHECKS} SELECT CASE WHEN count(*) FILTER (WHERE observed > threshold) > 0 THEN 'review_required'
                               ELSE 'healthy' END AS status,
-                         count(*) FILTER (WHERE observed > threshold) AS alerts FROM checks""",
+                         count(*) FILTER (WHERE observed > threshold) AS alerts,
+                         (SELECT count(*) FROM old_rows) AS reference_rows, (SELECT count(*) FROM new_rows) AS current_rows
+                  FROM checks""",
 )
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mon.monitoring_status(_report(spark, sf_dir))

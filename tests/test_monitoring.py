@@ -38,18 +38,20 @@ def test_report(spark, sides):
     ddl = "metric string, value double"
     before = spark.createDataFrame([("mae", 10.0), ("recall", 0.8), ("gone", 1.0)], ddl)
     after = spark.createDataFrame([("mae", 15.0), ("recall", 0.6)], ddl)
-    checks = mon.monitoring_checks(*sides, before, after, ["queue_length", "department"])
+    report = mon.monitoring_report(*sides, before, after, ["queue_length", "department"])
+    checks = report.checks
     rows = {r.metric: r for r in checks.collect()}
     assert rows["department"].observed == 1.0
     assert rows["mae"].observed == pytest.approx(0.5) and rows["gone"].observed == 1.0
     assert rows["missing_rate"].observed == pytest.approx(1 / 200)
     assert {r.component for r in mon.alerts(checks).collect()} >= {"drift", "performance"}
-    assert mon.monitoring_status(checks).first().status == "review_required"
+    status = mon.monitoring_status(report).first()
+    assert (status.status, status.reference_rows, status.current_rows) == ("review_required", 100, 100)
     old, new = sides
     with pytest.raises(DataQualityError):
-        mon.monitoring_checks(old, new.limit(0), before, after, ["department"])
+        mon.monitoring_report(old, new.limit(0), before, after, ["department"])
     with pytest.raises(DataQualityError, match="absent"):
-        mon.monitoring_checks(old, new, before, after, ["absent"])
+        mon.monitoring_report(old, new, before, after, ["absent"])
 
 
 def test_psi_equals_numpy(spark):
@@ -68,6 +70,15 @@ def test_constant_and_empty_columns(spark):
     }
 
 
+def test_wide_counts_take_one_pass(spark, sides):
+    edges = mon._edges(sides[0], ["queue_length"], 4)
+    assert edges == {"queue_length": [0.0, 24.75, 49.5, 74.25, 99.0]}
+    row = mon._wide_counts(sides[1], edges, ["queue_length", "department"]).first()
+    assert (row.rows, row.nulls, row.c0.n, row.c0.far, row.c0.reach) == (100, 1, 99, 99, [99, 99, 99])
+    plan = mon._wide_counts(sides[1], edges)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Generate" not in plan
+
+
 def test_flags_are_numbers_and_bins_at_least_two(sides):
     found = scores(mon.feature_drift(*sides))
     assert set(found) == {"queue_length", "department", "flag"}
