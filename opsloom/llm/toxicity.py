@@ -39,15 +39,20 @@ for _first, _last in ("09", "AZ", "az"):
 
 @dataclass(frozen=True)
 class LearnerSettings:
-    """Rate, its smoothing, L1 and L2 of the learner; features in fewer texts of the sample are left out."""
+    """Rate, its smoothing, L1 and L2 of the learner.
+
+    A feature counts in the parts in which at least ``min_in_part`` texts have it, and is learnt if it
+    is in ``min_texts`` texts of those; of too many the commonest are.
+    """
 
     alpha: float = 0.6
     beta: float = 1.0
     l1: float = 1.0
     l2: float = 0.1
     rounds: int = 6
-    parts: int = 16
-    min_texts: int = 5
+    parts: int = 8
+    min_in_part: int = 2
+    min_texts: int = 4
     max_features: int = 1 << 20
 
 
@@ -132,70 +137,67 @@ def weights_of(z: np.ndarray, n: np.ndarray, settings: LearnerSettings) -> np.nd
     return _weights(z, np.sqrt(n), l1, settings)
 
 
-# Occurrences held before a task hands its counts on, and slices of the state summed on their own.
-HELD, SLICES = 1 << 22, 16
+# Texts read at once, and slices of the state summed on their own.
+READ_TEXTS, SLICES = 256, 16
 
 
 def _sample(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str, max_rows: int, parts: int) -> DataFrame:
-    """``part, place, label, text`` of the labelled texts to learn from, one per key, written."""
+    """One row per part with its labelled texts in the order of a hash of their key, written."""
     known = labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("double").alias("label"))
     known = known.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     chosen = known.withColumn("place", F.xxhash64("id")).orderBy("place", "id").limit(max_rows)
     texts = documents.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     # The broadcast side has max_rows ids at most; of a repeated id the least text is learnt from.
-    rows = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
-    rows = rows.repartition(parts, "id").select(F.expr(f"int(pmod(xxhash64(id), {parts}))").alias("part"), F.xxhash64("id").alias("place"), "label", "text")
-    return staged(rows, "toxicity-sample")
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id", "place", "label").agg(F.min("text").alias("text"))
+    dealt = rows.select(F.expr(f"int(pmod(place, {parts}))").alias("part"), F.struct("place", "label", F.coalesce("text", F.lit("")).alias("text")).alias("row"))
+    listed = dealt.repartition(parts, "part").groupBy("part").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    return staged(listed.select("part", F.col("rows.label").alias("labels"), F.col("rows.text").alias("texts")), "toxicity-sample")
+
+
+def _per_text(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct features, their text and counts, for a few texts at a time."""
+    for begin in range(0, len(texts), READ_TEXTS):
+        hashes, owner, counts = counted(*occurrences(texts.slice(begin, READ_TEXTS)))
+        yield hashes, owner + begin, counts
 
 
 def _frequent(sample: DataFrame, settings: LearnerSettings) -> np.ndarray:
-    """Ascending hashes of the features in enough texts; the commonest ones, if they are too many."""
+    """Ascending hashes of the features that are learnt."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
         for batch in batches:
-            hashes, _, _ = counted(*occurrences(batch.column(0)))
-            held.append(hashes)
-            size += len(hashes)
-            if size > HELD:
-                yield _tally(held)
-                held, size = [], 0
-        if size:
-            yield _tally(held)
-
-    def _tally(held: list[np.ndarray]) -> pa.RecordBatch:
-        hashes, texts = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(texts)], names=["feature", "texts"])
-
-    tallied = map_batches(sample.select("text"), count, "feature long, texts long").groupBy("feature").agg(F.sum("texts").alias("texts"))
+            for row in range(batch.num_rows):
+                found = [hashes for hashes, _, _ in _per_text(batch.column(0)[row].values)]
+                hashes, texts = np.unique(np.concatenate(found), return_counts=True)
+                enough = texts >= settings.min_in_part
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[enough].view(np.int64)), pa.array(texts[enough])], names=["feature", "texts"])
+
+    tallied = map_batches(sample.select("texts"), count, "feature long, texts long").groupBy("feature").agg(F.sum("texts").alias("texts"))
     enough = tallied.where(F.col("texts") >= settings.min_texts).orderBy(F.desc("texts"), "feature").limit(settings.max_features)
     return np.sort(enough.select("feature").toArrow()["feature"].to_numpy().view(np.uint64))
 
 
 def _examples(sample: DataFrame, features: np.ndarray) -> DataFrame:
-    """One row per part: its texts' feature numbers, counts and labels as packed arrays, in order of ``place``."""
+    """One row per part: its texts' feature numbers, counts and labels as packed arrays."""
     shared = sample.sparkSession.sparkContext.broadcast(features)
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            hashes, owner, counts = counted(*occurrences(batch.column(3)))
-            at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-            inside = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
-            bounds = pa.array(np.searchsorted(owner[inside], np.arange(batch.num_rows + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(bounds, pa.array(c[inside])) for c in ((at + 1).astype(np.int32), counts.astype(np.int8))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=["part", "place", "label", "features", "counts"])
-
-    def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("place", "ascending"), ("label", "ascending")]).combine_chunks()
-        lists = [table[c].combine_chunks() for c in ("features", "counts")]
-        sizes = np.diff(lists[0].offsets.to_numpy()).astype(np.int64)
-        packed = [sizes.tobytes(), *(c.flatten().to_numpy().tobytes() for c in lists), table["label"].to_numpy().tobytes()]
-        return pa.table({"sizes": [packed[0]], "features": [packed[1]], "counts": [packed[2]], "labels": [packed[3]], "part": [table["part"][0]]})
-
-    numbered = map_batches(sample, number, "part int, place long, label double, features array<int>, counts array<tinyint>")
-    packed = numbered.groupBy("part").applyInArrow(pack, "sizes binary, features binary, counts binary, labels binary, part int")
-    return staged(packed, "toxicity-examples")
+            for row in range(batch.num_rows):
+                texts = batch.column(2)[row].values
+                sizes, numbers, values = np.zeros(len(texts), np.int64), [], []
+                for hashes, owner, counts in _per_text(texts):
+                    at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+                    inside = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+                    np.add.at(sizes, owner[inside], 1)
+                    numbers.append((at[inside] + 1).astype(np.int32))
+                    values.append(counts[inside].astype(np.int8))
+                labels = batch.column(1)[row].values.to_numpy()
+                packed = [[c.tobytes()] for c in (sizes, np.concatenate(numbers), np.concatenate(values), labels)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), *map(pa.array, packed)], names=["part", "sizes", "features", "counts", "labels"])
+
+    return staged(map_batches(sample, pack, "part int, sizes binary, features binary, counts binary, labels binary"), "toxicity-examples")
 
 
 def _round(examples: DataFrame, z: np.ndarray, n: np.ndarray, settings: LearnerSettings) -> tuple[np.ndarray, np.ndarray]:
@@ -206,7 +208,7 @@ def _round(examples: DataFrame, z: np.ndarray, n: np.ndarray, settings: LearnerS
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before_z, before_n = shared.value
         for batch in batches:
-            for sizes, features, counts, labels, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, sizes, features, counts, labels in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ends = np.cumsum(np.frombuffer(sizes, np.int64))
                 numbers, values = np.frombuffer(features, np.int32), np.frombuffer(counts, np.int8)
                 rows = zip(np.split(numbers, ends[:-1]), np.split(values, ends[:-1]), np.frombuffer(labels), strict=True)

@@ -95,7 +95,10 @@ def test_fit_equals_the_plain_schedule(spark, labelled):
     model = toxicity.fit_toxicity(docs, labels, settings=settings)
     texts = {i: (t, y) for i, t, y in rows} | {3: (min(rows[3][1], "a repeated id, later text"), rows[3][2])}
     dealt = spark.range(90).selectExpr("id", "xxhash64(id) as place", "pmod(xxhash64(id), 3) as part").collect()
-    known = Counter(f for t, _ in texts.values() for f in set(plain_features(t)))
+    known = Counter()
+    for part in range(3):
+        held = Counter(f for r in dealt if r.part == part for f in set(plain_features(texts[r.id][0])))
+        known.update({f: n for f, n in held.items() if n >= settings.min_in_part})
     state = {}
     for _ in range(settings.rounds):
         moved = []
