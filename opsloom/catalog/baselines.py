@@ -23,7 +23,7 @@ from opsloom.operators.baselines import (
     waiting_baseline_report,
 )
 from opsloom.operators.metrics import regression_metrics
-from opsloom.operators.splits import TemporalSplit, rolling_origin_windows, tag_windows, temporal_split
+from opsloom.operators.splits import TemporalSplit, rolling_origin_windows, temporal_split
 from opsloom.plans.baseline_report import baseline_analysis
 
 
@@ -276,8 +276,7 @@ _BACKTEST_MODELS = SERIES_BASELINES[1:]
 )
 def backtest_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = materialize(arrivals(spark, sf_dir), "arrivals")
-    history, future = tag_windows(target, rolling_origin_windows(target, 3))
-    predicted = backtest_arrival_baselines(history, future)
+    predicted = backtest_arrival_baselines(target, rolling_origin_windows(target, 3))
     return rounded(backtest_baseline_metrics(predicted, _BACKTEST_MODELS, "arrivals"))
 
 
@@ -308,6 +307,5 @@ _BED_MODELS = ("same_hour_previous_day", "same_hour_previous_week")
 )
 def backtest_beds(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = materialize(occupancy(spark, sf_dir), "occupancy")
-    history, future = tag_windows(target, rolling_origin_windows(target, 3))
-    predicted = backtest_occupancy_baselines(history, future)
+    predicted = backtest_occupancy_baselines(target, rolling_origin_windows(target, 3))
     return rounded(backtest_baseline_metrics(predicted, _BED_MODELS, "occupied_beds", beds=True))

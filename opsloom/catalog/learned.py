@@ -17,7 +17,7 @@ from opsloom.operators.models import (
     apply_sigmoid,
     encode,
     fit_encoder,
-    fit_leaf_intervals,
+    fit_intervals,
     fit_sigmoid,
     log_odds,
 )
@@ -57,7 +57,7 @@ def leaf_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test coverage of the 10 % to 90 % intervals."""
     parts = temporal_split(materialize(wait_rows(spark, sf_dir), "wait-features"), "queue_entered_at")
     encoder = fit_encoder(parts.development, WAIT_FEATURES)
-    intervals = fit_leaf_intervals(encode(encoder, parts.development), "wait_minutes", SMALL)
+    intervals = fit_intervals(encode(encoder, parts.development), "wait_minutes", SMALL)
     bounded = intervals.add(encode(encoder, parts.test))
     return rounded(interval_coverage(bounded, "wait_minutes", "lower", "upper", ["department_id"]))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from opsloom.operators.metrics import (
     pivot_models,
     regression_metrics,
 )
+from opsloom.operators.splits import Window24, future_rows, seen_by
 from opsloom.operators.targets import SERIES_KEYS
 
 # The wait baselines and the columns each one groups by.
@@ -150,29 +152,51 @@ def arrival_baseline_report(train: DataFrame, test: DataFrame) -> DataFrame:
     return forecast_metrics(long, "arrivals", "prediction", ["model"])
 
 
-def backtest_arrival_baselines(history: DataFrame, future: DataFrame) -> DataFrame:
-    """Day, week and seasonal baselines for all back-test windows in one pass.
+def _recent(target: DataFrame, windows: Sequence[Window24]) -> DataFrame:
+    """The rows a lookup of the week before a cut-off can reach.
 
-    ``window_id`` is part of the group, so a window sees its own history only.
+    A predicted hour lies 24 hours after its cut-off at most, so the hours a day or a week before
+    it are in the history of every window that predicts it.
     """
-    return series_baselines(
-        history, future, ("window_id", *SERIES_KEYS), "arrivals", names=SERIES_BASELINES[1:]
-    )
+    first, last = min(w.cutoff for w in windows), max(w.cutoff for w in windows)
+    since = first - timedelta(hours=168)
+    return target.where((F.col("interval_start") > F.lit(since)) & (F.col("interval_start") <= F.lit(last)))
+
 
+def backtest_arrival_baselines(target: DataFrame, windows: Sequence[Window24]) -> DataFrame:
+    """Day, week and seasonal baselines of the predicted hours of all back-test windows.
 
-def backtest_occupancy_baselines(history: DataFrame, future: DataFrame) -> DataFrame:
+    Rows carry the windows that see them as bits. Seasonal means of all windows come from one
+    grouped pass, the median behind them from counts of values weighted by the number of bits.
+    """
+    groups, value = list(SERIES_KEYS), "arrivals"
+    seen = target.withColumn("_seen", seen_by(windows)).where("_seen <> 0")
+    season = [F.weekday("interval_start").alias("_weekday"), F.hour("interval_start").alias("_hour")]
+    means = seen.groupBy(*groups, *season).agg(*[
+        F.avg(F.when(F.col("_seen").bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.col(value))).alias(f"_mean_{i}")
+        for i in range(len(windows))
+    ])
+    cells = [F.struct(F.lit(w.window).alias("window_id"), F.col(f"_mean_{i}").alias("seasonal_mean")) for i, w in enumerate(windows)]
+    means = means.select(*groups, "_weekday", "_hour", F.inline(F.array(*cells))).where("seasonal_mean is not null")
+    weights = seen.groupBy(value).agg(F.sum(F.bit_count("_seen")).alias("_weight"))
+    median = weights.select(F.percentile(value, 0.5, F.col("_weight"))).scalar()
+    future = future_rows(target, windows)
+    calendar = future.withColumns({
+        "_weekday": F.weekday("interval_start"), "_hour": F.hour("interval_start"), "_median": median
+    })
+    rows = join_with_fallback(calendar, means, ["window_id", *groups, "_weekday", "_hour"], {"seasonal_mean": F.col("_median")})
+    near = _recent(target, windows)
+    for name, hours in (("same_hour_previous_day", 24), ("same_hour_previous_week", 168)):
+        rows = lookup_shifted(rows, near, groups, "interval_start", value, hours=hours, out=name)
+        rows = rows.withColumn(name, F.coalesce(name, "seasonal_mean"))
+    return rows.select(*future.columns, *SERIES_BASELINES[1:])
+
+
+def backtest_occupancy_baselines(target: DataFrame, windows: Sequence[Window24]) -> DataFrame:
     """Beds at the same hour of the previous day and week, per window."""
-    rows = future
+    rows, near = future_rows(target, windows), _recent(target, windows)
     for name, hours in (("same_hour_previous_day", 24), ("same_hour_previous_week", 168)):
-        rows = lookup_shifted(
-            rows,
-            history,
-            ("window_id", "ward_id"),
-            "interval_start",
-            "occupied_beds",
-            hours=hours,
-            out=name,
-        )
+        rows = lookup_shifted(rows, near, ["ward_id"], "interval_start", "occupied_beds", hours=hours, out=name)
     return rows
 
 

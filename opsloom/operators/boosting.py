@@ -51,6 +51,8 @@ class BoostedModel:
     bit: int = 0
     # None is squared loss, else the quantile of pinball loss.
     quantile: float | None = None
+    # Leaves of a tree, where they are not the fit's.
+    leaves: int | None = None
 
 
 @dataclass
@@ -289,14 +291,14 @@ def _grow(rows: DataFrame, fit: _Fit, edges: Mapping[int, Sequence[np.ndarray]],
         wanted = [[] for _ in models]
         for i, tree in enumerate(explored):
             # Nodes best-first growth would cut as far as their gains are known.
-            for node in _order(tree, known[i], settings.leaves):
+            for node in _order(tree, known[i], models[i].leaves or settings.leaves):
                 if tree.feature[node] < 0:
                     r = known[i][node]
                     cut = edges[models[i].bit][r.feature][r.bin]
                     wanted[i] += tree.grow(node, r.feature, float(cut), r.bin)
     grown = []
     for i, tree in enumerate(explored):
-        kept = _order(tree, known[i], settings.leaves)
+        kept = _order(tree, known[i], models[i].leaves or settings.leaves)
         final, place = Tree(), {0: 0}
         for node in kept:
             place[tree.left[node]], place[tree.right[node]] = final.grow(place[node], tree.feature[node], tree.cut[node], tree.bin[node])

@@ -6,23 +6,28 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.errors import ForecastHorizonError, TrainingDataError
 from opsloom.functions.staging import materialize
 from opsloom.operators.baselines import HORIZONS
+from opsloom.operators.boosting import BoostedModel, HistogramModel, fit_boosting
 from opsloom.operators.features import ARRIVAL_NUMERIC, OCCUPANCY_NUMERIC
 from opsloom.operators.models import (
+    INTERVAL_LEVELS,
+    BoostedIntervals,
     FeatureSet,
     IntervalModel,
     TrainingSettings,
-    boosted,
+    WindowModels,
+    boosting_settings,
     encode,
     fit_encoder,
-    fit_leaf_intervals,
 )
 from opsloom.operators.policy import capacity_alerts, reconcile_bottom_up, repair_interval
+from opsloom.operators.splits import Window24, seen_by
 from opsloom.operators.targets import SERIES_KEYS
 
 ARRIVAL_FEATURES = FeatureSet(("department_id",), ARRIVAL_NUMERIC)
@@ -61,31 +66,69 @@ class LagModel:
         )
 
 
+# The parts of a series model: no quantile is the point.
+_PARTS = {"point": None, **INTERVAL_LEVELS}
+
+
+def _fit_series(
+    features: DataFrame, feature_set: FeatureSet, label: str, settings: TrainingSettings, names: dict[int, int], mask: str | None
+) -> tuple[PipelineModel, dict[int, dict[str, HistogramModel]]]:
+    """Encoder, and point and interval models for the windows ``names`` by their bit, all in one fit."""
+    encoder = fit_encoder(features, feature_set)
+    models = [
+        BoostedModel(f"{bit}-{part}", bit, q, None if q is None else settings.interval_leaves)
+        for bit in names
+        for part, q in _PARTS.items()
+    ]
+    fitted = fit_boosting(encode(encoder, features), label, models, boosting_settings(settings), mask=mask)
+    return encoder, {name: {part: fitted[f"{bit}-{part}"] for part in _PARTS} for bit, name in names.items()}
+
+
 def fit_series_model(
     features: DataFrame, feature_set: FeatureSet, label: str, settings: TrainingSettings
 ) -> IntervalModel:
-    """One boosted model for all groups, with leaf intervals."""
-    encoder = fit_encoder(features, feature_set)
-    encoded = encode(encoder, features)
-    point = boosted(label, settings).fit(encoded)
-    return IntervalModel(feature_set, encoder, point, fit_leaf_intervals(encoded, label, settings))
+    """One boosted model for all groups; point and both bounds grow together."""
+    encoder, fitted = _fit_series(features, feature_set, label, settings, {0: 0}, None)
+    parts = fitted[0]
+    return IntervalModel(feature_set, encoder, parts["point"], BoostedIntervals(parts["lower"], parts["upper"]))
+
+
+def fit_series_windows(
+    features: DataFrame, feature_set: FeatureSet, label: str, settings: TrainingSettings, windows: Sequence[Window24]
+) -> WindowModels:
+    """The models of all back-test windows in one fit; a window's models see the rows up to its cut-off."""
+    seen = features.withColumn("_seen", seen_by(windows)).where("_seen <> 0")
+    names = {i: w.window for i, w in enumerate(windows)}
+    encoder, fitted = _fit_series(seen, feature_set, label, settings, names, "_seen")
+    return WindowModels(feature_set, encoder, fitted)
 
 
 def forecast_state(
-    target: DataFrame, groups: Sequence[str], value: str, carried: Sequence[str] = ()
+    target: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    carried: Sequence[str] = (),
+    windows: Sequence[Window24] = (),
 ) -> DataFrame:
     """One row per group: its last hour and its newest 168 values, oldest first.
 
     Only the last week of a group is gathered, so the array has a fixed length however long the
-    history is. ``carried`` columns keep their newest value.
+    history is. ``carried`` columns keep their newest value. With ``windows`` there is a row per
+    group and ``window_id``, which ends at the window's cut-off; of the history only those weeks are
+    repeated.
     """
-    last = target.groupBy(*groups).agg(F.max("interval_start").alias("last_time"))
-    since = F.timestamp_add("HOUR", F.lit(-HISTORY_HOURS), F.col("last_time"))
-    recent = target.join(last, list(groups)).where(F.col("interval_start") > since)
+    time = F.col("interval_start")
+    cuts = [(w.window, time <= F.lit(w.cutoff)) for w in windows] or [(0, F.lit(True))]
+    newest = [F.struct(F.lit(name).alias("window_id"), F.max(F.when(seen, time)).alias("last_time")) for name, seen in cuts]
+    ends = target.groupBy(*groups).agg(F.array(*newest).alias("_ends"))
+    hours = F.expr(f"interval {HISTORY_HOURS} hours")
+    covering = F.filter("_ends", lambda e: (time <= e["last_time"]) & (time > e["last_time"] - hours))
+    recent = target.join(ends, list(groups)).select(*target.columns, F.inline(covering))
+    keys = [*(["window_id"] if windows else []), *groups]
     pairs = F.array_sort(
         F.collect_list(F.struct("interval_start", F.col(value).cast("double").alias("v")))
     )
-    return recent.groupBy(*groups, "last_time").agg(
+    return recent.groupBy(*keys, "last_time").agg(
         F.transform(pairs, lambda p: p["v"]).alias("values"),
         *[F.max_by(c, "interval_start").alias(c) for c in carried],
     )
@@ -121,8 +164,9 @@ def recursive_forecast(
     ceiling: str | None = None,
     write_every: int = 6,
     verify: bool = True,
+    windows: Sequence[Window24] = (),
 ) -> DataFrame:
-    """``horizon`` hours per group, each step fed by the predictions before it.
+    """``horizon`` hours per group, and per window if there are any, each step fed by those before it.
 
     Groups advance in parallel, one row each. Only the point prediction is fed back, so bounds
     are scored once over all steps at the end. The state is written every few steps, which keeps
@@ -131,7 +175,8 @@ def recursive_forecast(
     if horizon not in HORIZONS:
         raise ForecastHorizonError(f"supported horizons: {HORIZONS}")
     constants = constants or {}
-    state = forecast_state(target, groups, value, carried)
+    state = forecast_state(target, groups, value, carried, windows)
+    groups = [*(["window_id"] if windows else []), *groups]
     state = materialize(state, "forecast-state")
     if verify and not state.where(F.size("values") < HISTORY_HOURS).isEmpty():
         raise TrainingDataError(f"every group needs {HISTORY_HOURS} hours of history")
@@ -165,9 +210,14 @@ def recursive_forecast(
 
 
 def department_forecast(
-    target: DataFrame, model: SeriesModel, horizon: int, *, groups: Sequence[str] = SERIES_KEYS
+    target: DataFrame,
+    model: SeriesModel,
+    horizon: int,
+    *,
+    groups: Sequence[str] = SERIES_KEYS,
+    windows: Sequence[Window24] = (),
 ) -> DataFrame:
-    points = recursive_forecast(target, groups, "arrivals", model, horizon, weekend=True)
+    points = recursive_forecast(target, groups, "arrivals", model, horizon, weekend=True, windows=windows)
     return points.withColumnsRenamed({
         "point": "predicted_arrivals",
         "lower": "lower_arrivals",
@@ -180,7 +230,7 @@ def forecast_arrivals(target: DataFrame, model: SeriesModel, horizon: int) -> Da
     return reconcile_bottom_up(department_forecast(target, model, horizon))
 
 
-def ward_forecast(target: DataFrame, model: SeriesModel, horizon: int) -> DataFrame:
+def ward_forecast(target: DataFrame, model: SeriesModel, horizon: int, *, windows: Sequence[Window24] = ()) -> DataFrame:
     """Beds per ward within ``[0, capacity]``; no discharges are expected in the future."""
     points = recursive_forecast(
         target,
@@ -192,6 +242,7 @@ def ward_forecast(target: DataFrame, model: SeriesModel, horizon: int) -> DataFr
         carried=["staffed_capacity"],
         constants={"expected_discharges": 0},
         ceiling="staffed_capacity",
+        windows=windows,
     )
     return points.withColumnsRenamed({
         "point": "predicted_occupied_beds",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -15,19 +17,14 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opsloom.errors import FeatureSchemaMismatchError
-from opsloom.functions.ranks import exact_percentiles
-from opsloom.functions.staging import materialize
+from opsloom.functions.shipping import ship
+from opsloom.operators.boosting import BoostedModel, BoostingSettings, HistogramModel, fit_boosting
 from opsloom.operators.contracts import require_columns
 from opsloom.operators.policy import with_repaired_interval
 from opsloom.operators.quality import assert_no_nulls
@@ -42,12 +39,14 @@ class TrainingSettings:
     seed: int = 17
     trees: int = 100
     boosting_rounds: int = 100
+    boosting_leaves: int = 15
+    # Depth of the boosted classifier's trees.
     boosting_depth: int = 4
     # The deepest trees the library can grow.
     forest_depth: int = 30
     ridge_alpha: float = 1.0
-    interval_depth: int = 5
-    interval_leaf_rows: int = 50
+    interval_leaves: int = 31
+    interval_leaf_rows: int = 20
 
 
 @dataclass(frozen=True)
@@ -117,19 +116,27 @@ def regressors(encoded: DataFrame, label: str, settings: TrainingSettings) -> di
             featureSubsetStrategy="all",
             seed=settings.seed,
         ),
-        "gradient_boosting": boosted(label, settings),
+        "gradient_boosting": HistogramBoosting(label, settings),
     }
 
 
-def boosted(label: str, settings: TrainingSettings) -> GBTRegressor:
-    return GBTRegressor(
-        labelCol=label,
-        maxIter=settings.boosting_rounds,
-        maxDepth=settings.boosting_depth,
-        seed=settings.seed,
+def boosting_settings(settings: TrainingSettings) -> BoostingSettings:
+    return BoostingSettings(
+        rounds=settings.boosting_rounds, leaves=settings.boosting_leaves, leaf_rows=settings.interval_leaf_rows
     )
 
 
+@dataclass(frozen=True)
+class HistogramBoosting:
+    """The boosted candidate, used like the library's estimators."""
+
+    label: str
+    settings: TrainingSettings
+
+    def fit(self, encoded: DataFrame) -> HistogramModel:
+        return fit_boosting(encoded, self.label, [BoostedModel("point")], boosting_settings(self.settings))["point"]
+
+
 def classifiers(label: str, weight: str, settings: TrainingSettings) -> dict:
     """Logistic baseline and the no-show candidates; ``weight`` balances the classes."""
     return {
@@ -208,43 +215,25 @@ def log_odds(probability: str):
     return F.ln(p / (1 - p))
 
 
-@dataclass(frozen=True)
-class LeafIntervals:
-    """Conditional quantiles: a shallow tree splits the rows, each leaf keeps its quantiles.
+# The quantiles of the interval models.
+INTERVAL_LEVELS = {"lower": 0.1, "upper": 0.9}
 
-    The bounds table has one row per leaf, at most ``2 ** depth``, and is broadcast on scoring.
-    """
 
-    tree: object
-    bounds: DataFrame
+@dataclass(frozen=True)
+class BoostedIntervals:
+    """Conditional quantiles: a model with pinball loss for each bound."""
+
+    lower: HistogramModel
+    upper: HistogramModel
 
     def add(self, encoded: DataFrame) -> DataFrame:
-        leaves = self.tree.transform(encoded).drop("_leaf_mean")
-        return leaves.join(F.broadcast(self.bounds), "_leaf", "left").drop("_leaf")
-
-
-def fit_leaf_intervals(
-    encoded: DataFrame,
-    label: str,
-    settings: TrainingSettings,
-    *,
-    low: float = 0.1,
-    high: float = 0.9,
-) -> LeafIntervals:
-    """10 % and 90 % quantiles of the label per leaf, exact within each leaf."""
-    tree = DecisionTreeRegressor(
-        labelCol=label,
-        maxDepth=settings.interval_depth,
-        minInstancesPerNode=settings.interval_leaf_rows,
-        leafCol="_leaf",
-        predictionCol="_leaf_mean",
-        seed=settings.seed,
-    ).fit(encoded)
-    leaves = tree.transform(encoded).select("_leaf", F.col(label).cast("double").alias("_label"))
-    bounds = exact_percentiles(
-        leaves, ["_leaf"], "_label", {"lower": low, "upper": high}, few_groups=True
-    ).drop("n")
-    return LeafIntervals(tree, materialize(bounds, "leaf-bounds"))
+        return self.upper.transform(self.lower.transform(encoded, out="lower"), out="upper")
+
+
+def fit_intervals(encoded: DataFrame, label: str, settings: TrainingSettings) -> BoostedIntervals:
+    """10 % and 90 % quantiles of the label, both models in one fit."""
+    models = [BoostedModel(name, 0, q, settings.interval_leaves) for name, q in INTERVAL_LEVELS.items()]
+    return BoostedIntervals(**fit_boosting(encoded, label, models, boosting_settings(settings)))
 
 
 @dataclass(frozen=True)
@@ -254,7 +243,7 @@ class IntervalModel:
     features: FeatureSet
     encoder: PipelineModel
     predictor: object
-    intervals: LeafIntervals
+    intervals: BoostedIntervals
 
     def point(self, frame: DataFrame) -> DataFrame:
         scored = self.predictor.transform(encode(self.encoder, frame))
@@ -270,24 +259,69 @@ class IntervalModel:
         )
         return self.intervals.add(scored).select(*frame.columns, "point", "lower", "upper")
 
-    def save(self, path: str) -> None:
+    def save(self, path: str, spark: SparkSession) -> None:
         """Write the model parts as folders; an existing version is never replaced."""
         self.encoder.save(f"{path}/encoder")
-        PipelineModel([self.predictor]).save(f"{path}/point")
-        PipelineModel([self.intervals.tree]).save(f"{path}/interval")
-        self.intervals.bounds.write.mode("errorifexists").parquet(f"{path}/bounds")
+        own = isinstance(self.predictor, HistogramModel)
+        spark.createDataFrame([(own,)], "own_trees boolean").write.parquet(f"{path}/kind")
+        if own:
+            self.predictor.nodes(spark).write.parquet(f"{path}/point")
+        else:
+            PipelineModel([self.predictor]).save(f"{path}/point")
+        self.intervals.lower.nodes(spark).write.parquet(f"{path}/lower")
+        self.intervals.upper.nodes(spark).write.parquet(f"{path}/upper")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, features: FeatureSet) -> IntervalModel:
-        tree = PipelineModel.load(f"{path}/interval").stages[0]
+        def trees(part: str) -> HistogramModel:
+            return HistogramModel.from_nodes(spark.read.parquet(f"{path}/{part}"))
+
+        own = spark.read.parquet(f"{path}/kind").first().own_trees
         return cls(
             features,
             PipelineModel.load(f"{path}/encoder"),
-            PipelineModel.load(f"{path}/point").stages[0],
-            LeafIntervals(tree, spark.read.parquet(f"{path}/bounds")),
+            trees("point") if own else PipelineModel.load(f"{path}/point").stages[0],
+            BoostedIntervals(trees("lower"), trees("upper")),
         )
 
 
+@dataclass(frozen=True)
+class WindowModels:
+    """Point and interval models of several back-test windows; rows name theirs in ``window_id``."""
+
+    features: FeatureSet
+    encoder: PipelineModel
+    # By window and part: point, lower, upper.
+    models: dict[int, dict[str, HistogramModel]]
+
+    def _with(self, frame: DataFrame, parts: Sequence[str]) -> DataFrame:
+        ship(frame.sparkSession)
+        encoded = encode(self.encoder, frame).withColumn("_vector", vector_to_array(F.col(FEATURES)))
+        for part in parts:
+            own = {window: by_part[part] for window, by_part in self.models.items()}
+            encoded = encoded.withColumn(part, _by_window(own)(F.col("window_id"), F.col("_vector")))
+        return encoded.select(*frame.columns, *parts)
+
+    def point(self, frame: DataFrame) -> DataFrame:
+        return self._with(frame, ["point"])
+
+    def interval(self, frame: DataFrame) -> DataFrame:
+        return self._with(frame, ["lower", "upper"])
+
+
+def _by_window(models: dict[int, HistogramModel]):
+    @F.pandas_udf("double")
+    def predict(windows: pd.Series, vectors: pd.Series) -> pd.Series:
+        matrix = np.array(vectors.tolist(), np.float64).reshape(len(vectors), -1)
+        result = np.zeros(len(matrix))
+        for window in windows.unique():
+            here = (windows == window).to_numpy()
+            result[here] = models[int(window)].values(matrix[here])
+        return pd.Series(result)
+
+    return predict
+
+
 def check_scoring_input(frame: DataFrame, features: FeatureSet) -> DataFrame:
     """Raise when a model feature is missing or holds a null."""
     require_columns(frame, features.columns, FeatureSchemaMismatchError)

@@ -249,13 +249,6 @@ class Window24:
     window: int
     cutoff: datetime
 
-    def history(self, target: DataFrame, time: str = "interval_start") -> DataFrame:
-        return target.where(F.col(time) <= F.lit(self.cutoff))
-
-    def future(self, target: DataFrame, time: str = "interval_start") -> DataFrame:
-        end = self.cutoff + timedelta(hours=24)
-        return target.where((F.col(time) > F.lit(self.cutoff)) & (F.col(time) <= F.lit(end)))
-
 
 def rolling_origins(
     target: DataFrame, windows: int = 3, time_column: str = "interval_start"
@@ -293,21 +286,24 @@ def rolling_origin_windows(
     return [Window24(r.window_id, r.cutoff) for r in rows]
 
 
-def tag_windows(
-    target: DataFrame, windows: Sequence[Window24], time: str = "interval_start"
-) -> tuple[DataFrame, DataFrame]:
-    """History and future rows of all windows, each tagged with ``window_id`` and ``cutoff``."""
+def seen_by(windows: Sequence[Window24], time: str = "interval_start") -> Column:
+    """Bits of the windows whose history holds the row: bit i for ``windows[i]``."""
+    bits = [F.when(F.col(time) <= F.lit(w.cutoff), F.lit(1 << i)).otherwise(F.lit(0)) for i, w in enumerate(windows)]
+    return reduce(Column.__add__, bits).cast("long")
 
-    def tagged(part: Callable[[Window24], DataFrame]) -> DataFrame:
-        return reduce(
-            DataFrame.unionByName,
-            [
-                part(w).withColumns({"window_id": F.lit(w.window), "cutoff": F.lit(w.cutoff)})
-                for w in windows
-            ],
-        )
 
-    return tagged(lambda w: w.history(target, time)), tagged(lambda w: w.future(target, time))
+def future_rows(target: DataFrame, windows: Sequence[Window24], time: str = "interval_start") -> DataFrame:
+    """The rows of the 24 hours after each cut-off, with ``window_id`` and ``cutoff``, in one scan.
+
+    A row that several windows predict is repeated; history is never copied.
+    """
+    ends = [(w, w.cutoff + timedelta(hours=24)) for w in windows]
+    inside = [
+        F.when((F.col(time) > F.lit(w.cutoff)) & (F.col(time) <= F.lit(end)), F.struct(F.lit(w.window).alias("window_id"), F.lit(w.cutoff).alias("cutoff")))
+        for w, end in ends
+    ]
+    near = target.where((F.col(time) > F.lit(min(w.cutoff for w in windows))) & (F.col(time) <= F.lit(max(end for _, end in ends))))
+    return near.select(*target.columns, F.inline(F.array_compact(F.array(*inside))))
 
 
 def class_counts(labelled: DataFrame, label: str) -> DataFrame:

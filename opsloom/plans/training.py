@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsloom.errors import TrainingDataError
@@ -34,6 +34,7 @@ from opsloom.operators.forecast import (
     OCCUPANCY_FEATURES,
     department_forecast,
     fit_series_model,
+    fit_series_windows,
     forecast_arrivals,
     forecast_occupancy,
     ward_forecast,
@@ -57,7 +58,7 @@ from opsloom.operators.models import (
     encode,
     feature_names,
     fit_encoder,
-    fit_leaf_intervals,
+    fit_intervals,
     fit_sigmoid,
     linear_importance,
     log_odds,
@@ -71,11 +72,12 @@ from opsloom.operators.models import (
 from opsloom.operators.policy import reminder_policy
 from opsloom.operators.quality import assert_no_nulls
 from opsloom.operators.splits import (
+    Window24,
     capacity_threshold,
     require_both_classes,
+    future_rows,
     rolling_origin_windows,
     split_boundaries,
-    tag_windows,
     temporal_split,
 )
 from opsloom.operators.targets import SERIES_KEYS, check_waiting_times
@@ -151,7 +153,7 @@ def train_wait_time(
     # The ridge penalty depends on the rows it is fitted on.
     point = regressors(development, label, settings)[selected].fit(development)
     model = IntervalModel(
-        WAIT_FEATURES, final_encoder, point, fit_leaf_intervals(development, label, settings)
+        WAIT_FEATURES, final_encoder, point, fit_intervals(development, label, settings)
     )
     predictions = materialize(score_wait_time(model, parts.test, verify=verify), "wait-predictions")
     constant = predictions.withColumn("median", median_of(parts.development, label).scalar())
@@ -293,26 +295,22 @@ MODEL_NAME = "gradient_boosting"
 
 def _backtest_forecasts(
     target: DataFrame,
-    windows: int,
-    fit: Callable[[DataFrame], IntervalModel],
-    predict: Callable[[DataFrame, IntervalModel], DataFrame],
+    cuts: Sequence[Window24],
     features: DataFrame,
+    feature_set: FeatureSet,
+    value: str,
+    settings: TrainingSettings,
+    predict: Callable[..., DataFrame],
     keys: Sequence[str],
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Forecasts of all windows joined to what happened, and the tagged history and future.
+) -> DataFrame:
+    """Forecasts of all windows joined to what happened.
 
-    At most eight windows, each a training job of its own. Features only look back, so those of
-    the whole series are filtered by cut-off instead of being built per window.
+    The models of all windows grow in one fit and forecast in one recursion, so the jobs do not grow
+    with the windows. Features only look back, so those of the whole series serve every window.
     """
-    cuts = rolling_origin_windows(target, windows)
-    history, future = tag_windows(target, cuts)
-    forecasts = []
-    for cut in cuts:
-        model = fit(cut.history(features))
-        points = predict(cut.history(target), model)
-        forecasts.append(points.withColumn("window_id", F.lit(cut.window)))
-    joined = future.join(union(forecasts), ["window_id", *keys, "interval_start"])
-    return materialize(joined, "backtest"), history, future
+    models = fit_series_windows(features, feature_set, value, settings, cuts)
+    points = predict(target, models, 24, windows=cuts)
+    return materialize(future_rows(target, cuts).join(points, ["window_id", *keys, "interval_start"]), "backtest")
 
 
 def backtest_arrivals(
@@ -320,16 +318,12 @@ def backtest_arrivals(
 ) -> DataFrame:
     """Model and naive baselines per horizon: ``(horizon, model, metric, value)``."""
     features = materialize(arrival_features(target), "arrival-features")
-    joined, history, future = _backtest_forecasts(
-        target,
-        windows,
-        lambda rows: fit_series_model(rows, ARRIVAL_FEATURES, "arrivals", settings),
-        lambda rows, model: department_forecast(rows, model, 24),
-        features,
-        SERIES_KEYS,
+    cuts = rolling_origin_windows(target, windows)
+    joined = _backtest_forecasts(
+        target, cuts, features, ARRIVAL_FEATURES, "arrivals", settings, department_forecast, SERIES_KEYS
     )
     keys = ["window_id", *SERIES_KEYS, "interval_start"]
-    naive = backtest_arrival_baselines(history, future)
+    naive = backtest_arrival_baselines(target, cuts)
     names = ["same_hour_previous_day", "same_hour_previous_week", "seasonal_mean"]
     scored = joined.join(naive.select(*keys, *names), keys).withColumn(
         MODEL_NAME, F.col("predicted_arrivals")
@@ -366,16 +360,12 @@ def backtest_occupancy(
 ) -> DataFrame:
     """As ``backtest_arrivals``, in beds, with the quality of capacity alerts."""
     features = materialize(occupancy_features(target), "occupancy-features")
-    joined, history, future = _backtest_forecasts(
-        target,
-        windows,
-        lambda rows: fit_series_model(rows, OCCUPANCY_FEATURES, "occupied_beds", settings),
-        lambda rows, model: ward_forecast(rows, model, 24),
-        features,
-        ["ward_id", "staffed_capacity"],
+    cuts = rolling_origin_windows(target, windows)
+    joined = _backtest_forecasts(
+        target, cuts, features, OCCUPANCY_FEATURES, "occupied_beds", settings, ward_forecast, ["ward_id", "staffed_capacity"]
     )
     keys = ["window_id", "ward_id", "interval_start"]
-    naive = backtest_occupancy_baselines(history, future)
+    naive = backtest_occupancy_baselines(target, cuts)
     names = ["same_hour_previous_day", "same_hour_previous_week"]
     scored = joined.join(naive.select(*keys, *names), keys).withColumn(
         MODEL_NAME, F.col("predicted_occupied_beds")
@@ -431,9 +421,9 @@ def train_occupancy(
     return SeriesTraining(model, backtest, forecast_occupancy(target, model, horizon, alert_threshold))
 
 
-def publish_version(model: IntervalModel, root: str, version: str) -> str:
+def publish_version(spark: SparkSession, model: IntervalModel, root: str, version: str) -> str:
     """Save a model under its version; older versions stay where they are."""
     path = f"{root.rstrip('/')}/{version}"
-    model.save(path)
+    model.save(path, spark)
     return path
 

@@ -106,7 +106,7 @@ def test_wait_model_beats_the_median_and_reloads(spark, hospital, tmp_path):
     top = run.importance.collect()
     assert 0 < len(top) <= 20 and top[0].feature == "queue_length"
     assert {r.dimension for r in run.slices.collect()} == {"department_id", "congestion"}
-    path = publish_version(run.model, str(tmp_path), "v1")
+    path = publish_version(spark, run.model, str(tmp_path), "v1")
     again = IntervalModel.load(spark, path, WAIT_FEATURES)
     key = ["encounter_id", "predicted_wait_minutes"]
     frame = run.predictions.select("encounter_id", *WAIT_FEATURES.columns)
@@ -114,7 +114,7 @@ def test_wait_model_beats_the_median_and_reloads(spark, hospital, tmp_path):
         (r.encounter_id, r.predicted_wait_minutes) for r in rows
     }
     with pytest.raises(Exception, match="exist"):
-        publish_version(run.model, str(tmp_path), "v1")
+        publish_version(spark, run.model, str(tmp_path), "v1")
     with pytest.raises(FeatureSchemaMismatchError):
         score_wait_time(again, frame.drop("hour"))
     with pytest.raises(FeatureSchemaMismatchError):
