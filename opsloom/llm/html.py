@@ -4,6 +4,7 @@ Pass one cuts a page into blocks and judges each by its length, its share of sto
 share of link text; standing inside an article or main element is further evidence. Pass two gives
 blocks too short to judge the label of their nearest decided neighbours. Only against a block tags
 and names decide alone: menus, forms, notices, adverts, comments and hidden elements are left out.
+Forms and named boxes that hold most of the page's text are taken for what they wrap.
 """
 
 from __future__ import annotations
@@ -52,7 +53,8 @@ _INLINE = frozenset(
     "strike strong sub sup time tt u var wbr br".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_PLACES_OUT = frozenset("nav footer aside form button dialog menu head audio video canvas fieldset".split())
+_PLACES_OUT = frozenset("nav footer aside button dialog menu head audio video canvas".split())
+_FORMS = frozenset(("form", "fieldset"))
 _REGIONS = frozenset(("article", "main"))
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _ENDS_PARAGRAPH = frozenset(
@@ -68,6 +70,12 @@ _NAMES_OUT = frozenset(
 )
 _ROLES_OUT = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 _COMMENTS = frozenset(("comment", "comments", "commentlist", "reply", "replies", "respond", "disqus"))
+# A form or a named box that holds more than this share of the page's text is none; less, where the
+# name is only the first or last word of a longer one, such as site-sidebar or has-sidebar.
+BOX_SHARE, PART_SHARE = 0.5, 0.25
+# Long text without known stop words is read as prose if it has a sentence mark per so many characters.
+SENTENCE = 300
+_SENTENCE_MARKS = re.compile(r"[.!?…。！？؟।։]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -81,9 +89,10 @@ class Block:
     heading: int  # level of the heading it is, 0 for none
 
 
-def _hints(attributes: str) -> tuple[frozenset[str], bool]:
-    """Names in class and id, and whether role or style put the element out."""
+def _hints(attributes: str) -> tuple[frozenset[str], frozenset[str], bool]:
+    """Whole names in class and id, first and last words of longer ones, and whether role or style put it out."""
     names: set[str] = set()
+    ends: set[str] = set()
     out = False
     for name, value, bare in _ATTRIBUTE.findall(attributes):
         if bare:
@@ -91,14 +100,27 @@ def _hints(attributes: str) -> tuple[frozenset[str], bool]:
             continue
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            names.update(_PARTS.split(value))
+            for token in value.split():
+                names.add(token)
+                words = [w for w in _PARTS.split(token) if w]
+                if len(words) > 1 or words and words[0] != token:
+                    ends.update((words[0], words[-1]))
         elif name == "role":
             out |= value in _ROLES_OUT
         elif name == "style":
             out |= _HIDDEN.search(value) is not None
         else:
             out |= value == "true"
-    return frozenset(names), out
+    return frozenset(names), frozenset(ends - names), out
+
+
+def _box(tag: str, names: frozenset[str], ends: frozenset[str]) -> float | None:
+    """The share of the page's text up to which the element is a form or box to leave out; None if it is none."""
+    if names & _COMMENTS:
+        return 1.0
+    if tag in _FORMS or names & _NAMES_OUT or ends & _COMMENTS:
+        return BOX_SHARE
+    return PART_SHARE if ends & _NAMES_OUT else None
 
 
 def blocks(page: str) -> list[Block]:
@@ -106,10 +128,15 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     linked = links = 0
-    # Open elements: tag, and the state to go back to at its end: region, article, out, header, heading.
-    stack: list[tuple[str, tuple[int, bool, bool, bool, int]]] = []
+    # Open elements: tag, and the state to go back to at its end: region, article, out, header, heading, boxes.
+    stack: list[tuple[str, tuple[int, bool, bool, bool, int, tuple[int, ...]]]] = []
     region = regions = heading = 0
     article = out = header = False
+    # Forms and named boxes around the place, the limit of each, and the boxes around each block.
+    boxes: tuple[int, ...] = ()
+    limits: list[float] = []
+    around: list[tuple[int, ...]] = []
+    forms: set[int] = set()
 
     def close() -> None:
         nonlocal linked
@@ -117,12 +144,13 @@ def blocks(page: str) -> list[Block]:
         if text:
             # Of a header inside an article its headings belong to the article.
             found.append(Block(text, linked, region, article, out or (header and not (region and heading)), heading))
+            around.append(boxes)
         parts.clear()
         linked = 0
 
     def leave(index: int) -> None:
-        nonlocal region, article, out, header, heading, links
-        region, article, out, header, heading = stack[index][1]
+        nonlocal region, article, out, header, heading, boxes, links
+        region, article, out, header, heading, boxes = stack[index][1]
         links -= sum(tag == "a" for tag, _ in stack[index:])
         del stack[index:]
 
@@ -165,21 +193,38 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[i][0] not in _INLINE:
                     break
-        stack.append((tag, (region, article, out, header, heading)))
+        stack.append((tag, (region, article, out, header, heading, boxes)))
         if tag == "a":
             links += 1
-        names, hidden = _hints(attributes) if attributes and not attributes.isspace() else (frozenset(), False)
+        plain = not attributes or attributes.isspace()
+        names, ends, hidden = (frozenset(), frozenset(), False) if plain else _hints(attributes)
         if tag in _REGIONS and not names & _COMMENTS and not hidden:
             regions += 1
             region, article, header = regions, article or tag == "article", False
             out = out and any(t in _PLACES_OUT for t, _ in stack)
+            # Names around a region say nothing about it; forms are judged by what they hold.
+            boxes = tuple(b for b in boxes if limits[b] == 1.0 or b in forms)
         elif tag not in ("html", "body"):
-            out = out or hidden or tag in _PLACES_OUT or bool(names & _NAMES_OUT)
-            header = header or tag == "header" or "header" in names and tag not in _INLINE
+            out = out or hidden or tag in _PLACES_OUT
+            header = header or tag == "header" or "header" in names | ends and tag not in _INLINE
+            limit = _box(tag, names, ends)
+            if limit is not None:
+                if tag in _FORMS:
+                    forms.add(len(limits))
+                boxes = (*boxes, len(limits))
+                limits.append(limit)
         heading = heading or (int(tag[1]) if tag in _HEADINGS else 0)
     if at < len(page):
         add(page[at:])
     close()
+    held = [0] * len(limits)
+    for block, inside in zip(found, around, strict=True):
+        for box in inside:
+            held[box] += 0 if block.out else len(block.text)
+    whole = sum(len(b.text) for b in found if not b.out)
+    left_out = {i for i, (size, limit) in enumerate(zip(held, limits, strict=True)) if size <= limit * whole}
+    for block, inside in zip(found, around, strict=True):
+        block.out = block.out or not left_out.isdisjoint(inside)
     return found
 
 
@@ -196,6 +241,9 @@ def _judge(block: Block) -> bool | None:
         return False if block.linked and not block.region else None
     if size > LONG and (stops >= MANY_STOPS or block.region and (stops >= FEW_STOPS or stops < NO_STOPS)):
         return True
+    if size > LONG and stops < NO_STOPS and len(_SENTENCE_MARKS.findall(block.text)) * SENTENCE >= size:
+        # Sentences of a language the list doesn't know: length and links decide.
+        return True
     return None if stops >= FEW_STOPS or block.region else False
 
 
