@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from opsloom.functions.shipping import ship
 from opsloom.functions.staging import materialize
 
 # Write a table to the shared folder and return a scan of it; it survives lost executors.
@@ -26,21 +24,16 @@ _SPREAD_1 = np.uint64(0xBF58476D1CE4E5B9)
 _SPREAD_2 = np.uint64(0x94D049BB133111EB)
 
 
-def ship(spark: SparkSession) -> None:
-    """Send the package's code to the workers, once per application, wherever it is imported from."""
-    context = spark.sparkContext
-    if _SHIPPED.get("application") == context.applicationId:
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="opsloom-code-")) / "opsloom_code.zip"
-    with zipfile.ZipFile(archive, "w") as target:
-        for module in sorted(package.rglob("*.py")):
-            target.write(module, module.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _SHIPPED["application"] = context.applicationId
-
-
-_SHIPPED: dict[str, str] = {}
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores at its end as no column of ``frame`` has."""
+    taken = {c.lower() for c in frame.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
 
 
 def map_batches(

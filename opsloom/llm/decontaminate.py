@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import staged
+from opsloom.llm.common import staged, unused
 
 WINDOW_WORDS = 10
 # How many of a window's rarest words are looked up in the index before words are compared.
@@ -104,9 +104,10 @@ def near_matches(index: DataFrame, pairs: DataFrame, distance: int) -> DataFrame
     return met.where((F.abs(F.col("at") - F.col("place")) <= distance) & (F.col("at") != F.col("place"))).select("pair", "row_a", "row_b").distinct()
 
 
-def _identified(frame: DataFrame, key: str, text: str) -> DataFrame:
+def _identified(frame: DataFrame, key: str, text: str, one: str, two: str) -> DataFrame:
     """Two hashes tell rows apart by key and text; rows equal in both are one."""
-    return frame.withColumn("row_a", F.xxhash64(F.col(text), F.col(key))).withColumn("row_b", F.hash(F.col(key), F.col(text)))
+    key_column, text_column = F.col(f"`{key}`"), F.col(f"`{text}`")
+    return frame.withColumns({one: F.xxhash64(text_column, key_column), two: F.hash(key_column, text_column)})
 
 
 def find_phrases(rows: DataFrame, windows: DataFrame) -> DataFrame:
@@ -145,11 +146,12 @@ def mark_contaminated(
     sorted text, of the items with one. Null texts have no words, an empty benchmark marks
     nothing, repeated rows are marked alike. Columns of these names are replaced, others kept.
     """
-    added = ("n_words", "n_hit", "n_items", "items", "contaminated", "row_a", "row_b")
+    added = ("n_words", "n_hit", "n_items", "items", "contaminated")
     kept = documents.select(*(F.col(f"`{c}`") for c in documents.columns if c not in added))
-    rows = _identified(kept, key, text)
+    one, two, count, hit, listed = unused(kept, "row_a", "row_b", "word_count", "hit_count", "hit_items")
+    rows = _identified(kept, key, text, one, two)
     windows = benchmark_windows(benchmark, key=item_key, text=item_text, size=size)
-    slim = rows.select("row_a", "row_b", F.col(text).alias("text"))
+    slim = rows.select(F.col(one).alias("row_a"), F.col(two).alias("row_b"), F.col(f"`{text}`").alias("text"))
     found = staged(find_phrases(slim, windows), "phrases")
     # All three lists are bounded by the text's words and by the benchmark's items.
     spans = F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).cast("int").alias("end"))))
@@ -165,14 +167,56 @@ def mark_contaminated(
     hits = found.groupBy("row_a", "row_b").agg(
         spans.alias("spans"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")
     )
-    hits = hits.select("row_a", "row_b", joined.cast("long").alias("n_hit"), "items")
-    counted = rows.withColumn("n_words", F.size(words_of(F.col(text))).cast("long")).join(hits, ["row_a", "row_b"], "left")
-    none = F.array().cast("array<string>")
+    hits = hits.select(F.col("row_a").alias(one), F.col("row_b").alias(two), joined.cast("long").alias(hit), F.col("items").alias(listed))
+    counted = rows.withColumn(count, F.size(words_of(F.col(f"`{text}`"))).cast("long")).join(hits, [one, two], "left")
+    items = F.coalesce(listed, F.array().cast("array<string>"))
     return counted.select(
         *(F.col(f"`{c}`") for c in kept.columns),
-        "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.coalesce("items", none).alias("items"),
-        F.col("n_hit").isNotNull().alias("contaminated"),
+        F.col(count).alias("n_words"),
+        F.coalesce(hit, F.lit(0)).cast("long").alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        items.alias("items"),
+        F.col(hit).isNotNull().alias("contaminated"),
     )
+
+
+def benchmark_neighbours(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    terms: int = 2,
+    distance: int = WINDOW_WORDS,
+) -> DataFrame:
+    """``key, item_id``: documents in which an item's rarest words stand close, whatever lies between.
+
+    Of each item the ``terms`` distinct words that are rarest in the documents are taken, ties by the
+    word; the item is near where each pair of neighbours among them, from the rarest on, stands at
+    most ``distance`` words apart. An item with fewer distinct words, or with a word that no document
+    has, is near nothing; rows with a null key or id, null and empty texts likewise. Repeated rows and
+    items count once.
+    """
+    if terms < 2:
+        raise ValueError("proximity needs two or more terms")
+    items = benchmark.select(F.col(f"`{item_key}`").alias("item_id"), words_of(F.col(f"`{item_text}`")).alias("all"))
+    words = staged(items.where("item_id is not null").select("item_id", F.explode("all").alias("word")).distinct(), "item-words")
+    source = documents.where(F.col(f"`{key}`").isNotNull())
+    rows = _identified(source.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")), "id", "text", "row_a", "row_b")
+    counts = staged(word_counts(rows, words.select("word").distinct()), "word-counts")
+    ranked = words.join(counts, "word", "left").groupBy("item_id")
+    # As many words as an item has.
+    rarest = F.slice(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))), 1, terms)
+    chosen = ranked.agg(rarest.alias("keys")).where((F.size("keys") == terms) & (F.col("keys")[0]["n"] > 0))
+    steps = F.array(*[F.struct(F.col("keys")[i]["word"].alias("first"), F.col("keys")[i + 1]["word"].alias("second")) for i in range(terms - 1)])
+    pairs = staged(chosen.select("item_id", F.inline(steps)), "term-pairs")
+    used = pairs.select(F.explode(F.array("first", "second")).alias("word")).distinct()
+    index = staged(postings(rows.select("row_a", "row_b", "text"), used), "postings")
+    # Items that share a pair look it up once.
+    distinct = pairs.select("first", "second").distinct().withColumn("pair", F.struct("first", "second"))
+    met = near_matches(index, distinct, distance)
+    held = met.join(pairs.withColumn("pair", F.struct("first", "second")), "pair").groupBy("item_id", "row_a", "row_b").agg(F.count("*").alias("n"))
+    ids = rows.select("id", "row_a", "row_b").distinct()
+    return held.where(F.col("n") == terms - 1).join(ids, ["row_a", "row_b"]).select(F.col("id").alias(key), "item_id").distinct()

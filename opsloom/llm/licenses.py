@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import staged
+from opsloom.llm.common import staged, unused
 from opsloom.llm.decontaminate import words_of
 
 SHINGLE_WORDS = 5
@@ -111,7 +111,8 @@ def license_matches(documents: DataFrame, templates: Mapping[str, str] = TEMPLAT
     """
     spark = documents.sparkSession
     known = template_shingles(spark, templates)
-    texts = documents.select(F.xxhash64(text).alias("row_a"), F.hash(text).alias("row_b"), words_of(F.col(text)).alias("words"))
+    content = F.col(f"`{text}`")
+    texts = documents.select(F.xxhash64(content).alias("row_a"), F.hash(content).alias("row_b"), words_of(content).alias("words"))
     # The first words of shingles are as many as the templates have words; they go into the plan.
     starts = sorted({r.word for r in known.select(F.substring_index("shingle", " ", 1).alias("word")).distinct().collect()})
     last = F.size("words") - F.least(F.size("words"), F.lit(SHINGLE_WORDS))
@@ -138,11 +139,13 @@ def scan_licenses(documents: DataFrame, templates: Mapping[str, str] = TEMPLATES
     replaced, all others kept.
     """
     kept = [c for c in documents.columns if c not in ("licenses", "n_licenses")]
+    source = documents.select(*(F.col(f"`{c}`") for c in kept))
+    one, two, listed = unused(source, "row_a", "row_b", "held_licenses")
     # Bounded by the number of templates.
-    found = license_matches(documents, templates, text=text).groupBy("row_a", "row_b")
-    lists = found.agg(F.sort_array(F.collect_set("template")).alias("licenses"))
-    rows = documents.select(*(F.col(f"`{c}`") for c in kept), F.xxhash64(text).alias("row_a"), F.hash(text).alias("row_b"))
-    named = F.coalesce("licenses", F.array().cast("array<string>"))
-    return rows.join(lists, ["row_a", "row_b"], "left").select(
+    found = license_matches(source, templates, text=text).groupBy(F.col("row_a").alias(one), F.col("row_b").alias(two))
+    lists = found.agg(F.sort_array(F.collect_set("template")).alias(listed))
+    rows = source.withColumns({one: F.xxhash64(F.col(f"`{text}`")), two: F.hash(F.col(f"`{text}`"))})
+    named = F.coalesce(listed, F.array().cast("array<string>"))
+    return rows.join(lists, [one, two], "left").select(
         *(F.col(f"`{c}`") for c in kept), named.alias("licenses"), F.size(named).cast("long").alias("n_licenses")
     )

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import finish, map_batches, mix, staged
+from opsloom.llm.common import finish, map_batches, mix, staged, unused
 
 # Fixed values of the model format: kinds of pieces, and the mark that stands for a blank.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -506,8 +506,9 @@ def encode_texts(frame: DataFrame, model: bytes, *, text: str = "text", chunk: i
     giants = source.where(long)
     if giants.isEmpty():
         return short
-    giants = giants.withColumns({"row_a": F.xxhash64(F.col(f"`{text}`")), "row_b": F.hash(F.col(f"`{text}`"))})
-    texts = giants.select("row_a", "row_b", F.col(f"`{text}`").alias("text"))
+    one, two, joined_ids = unused(giants, "row_a", "row_b", "joined_ids")
+    giants = giants.withColumns({one: F.xxhash64(F.col(f"`{text}`")), two: F.hash(F.col(f"`{text}`"))})
+    texts = giants.select(F.col(one).alias("row_a"), F.col(two).alias("row_b"), F.col(f"`{text}`").alias("text"))
 
     def chunk_row(batch: pa.RecordBatch, i: int, number: int, part: str, size: int) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -585,8 +586,9 @@ def encode_texts(frame: DataFrame, model: bytes, *, text: str = "text", chunk: i
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(whole, pa.binary())], names=["row_a", "row_b", "pieces"])
 
     joined = map_batches(lists, gather, "row_a long, row_b int, pieces binary")
-    encoded = giants.join(joined, ["row_a", "row_b"]).select(
-        *(F.col(f"`{c}`") for c in kept), "pieces", (F.octet_length("pieces") / 4).cast("long").alias("n_pieces")
+    joined = joined.select(F.col("row_a").alias(one), F.col("row_b").alias(two), F.col("pieces").alias(joined_ids))
+    encoded = giants.join(joined, [one, two]).select(
+        *(F.col(f"`{c}`") for c in kept), F.col(joined_ids).alias("pieces"), (F.octet_length(joined_ids) / 4).cast("long").alias("n_pieces")
     )
     return short.union(encoded)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm.common import finish, map_batches, mix, staged, text_bytes
+from opsloom.llm.common import finish, map_batches, mix, staged, text_bytes, unused
 
 WINDOW, GRAM = 200, 32
 # Texts, and later open stretches, the splitters are taken from.
@@ -139,14 +139,9 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
-def _identified(frame: DataFrame, key: str, text: str) -> DataFrame:
-    """All columns, and a hash that tells rows apart by key and text; equal rows are one."""
-    return frame.withColumn("__row", F.xxhash64(F.col(text), F.col(key)))
-
-
 def _check(column: str) -> Column:
     """Sixteen more bits that tell rows apart, carried inside the packed stretch."""
-    return F.pmod(F.hash(F.col(column)), F.lit(1 << 16)).cast("long")
+    return F.pmod(F.hash(F.col(f"`{column}`")), F.lit(1 << 16)).cast("long")
 
 
 def _scan(rows: DataFrame, splitters: np.ndarray | None) -> DataFrame:
@@ -392,13 +387,16 @@ def remove_repeats(frame: DataFrame, *, key: str = "doc_id", text: str = "text")
     spark = frame.sparkSession
     added = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
     kept = [c for c in frame.columns if c not in added]
-    source = _identified(frame.select(*(F.col(f"`{c}`") for c in kept)), key, text)
-    rows = source.select("__row", _check(text).alias("check"), F.col(text).alias("text"))
+    source = frame.select(*(F.col(f"`{c}`") for c in kept))
+    own, other, check, listed = unused(source, "row_hash", "span_row", "row_check", "row_spans")
+    # A hash that tells rows apart by key and text; equal rows are one.
+    source = source.withColumn(own, F.xxhash64(F.col(f"`{text}`"), F.col(f"`{key}`")))
+    rows = source.select(F.col(own).alias("__row"), _check(text).alias("check"), F.col(f"`{text}`").alias("text"))
     long_enough = rows.where(F.octet_length("text") >= WINDOW)
     spans = repeated_spans(spark, long_enough)
     # Bounded by the length of the text, as above.
-    lists = spans.groupBy("row").agg(F.collect_set(F.struct("first", "more", "check")).alias("spans"))
-    joined = source.withColumn("__check", _check(text)).join(lists, F.col("__row") == F.col("row"), "left").drop("row", "__row")
+    lists = spans.groupBy(F.col("row").alias(other)).agg(F.collect_set(F.struct("first", "more", "check")).alias(listed))
+    joined = source.withColumn(check, _check(text)).join(lists, F.col(own) == F.col(other), "left").drop(own, other)
     place = kept.index(text)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
