@@ -14,6 +14,7 @@ from opsloom.sources.records import (
     PREDICTION_TYPES,
     append_predictions,
     append_training_run,
+    read_predictions,
     recent_predictions,
 )
 from opsloom.sources.tables import (
@@ -22,6 +23,7 @@ from opsloom.sources.tables import (
     dataset_manifest,
     load_report,
     publish_dataset,
+    published_folder,
     read_metrics,
     read_table_dir,
     table_counts,
@@ -97,8 +99,9 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append all records, read them back and look into their payloads."""
     path = new_path(spark, "predictions")
-    append_predictions(prediction_records(spark, sf_dir), path)
-    log = spark.read.parquet(path)
+    for _ in range(2):  # the second time changes nothing
+        append_predictions(prediction_records(spark, sf_dir), path)
+    log = read_predictions(spark, path)
     return rounded(
         log.groupBy("prediction_type").agg(
             F.count("*").alias("requests"),
@@ -247,8 +250,8 @@ def _publish(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 def published_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish, then ingest the raw text layer again and read the clean layer."""
     root, key = _publish(spark, sf_dir)
-    raw = ingest_extract(spark, f"{root}/raw/events/{key}")
-    bronze = read_table_dir(spark, f"{root}/bronze/events/{key}")
+    raw = ingest_extract(spark, published_folder(spark, root, "events", key, "raw"))
+    bronze = read_table_dir(spark, published_folder(spark, root, "events", key, "bronze"))
     return table_counts(raw, "raw_rows").join(table_counts(bronze, "bronze_rows"), "table_name")
 
 

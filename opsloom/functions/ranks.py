@@ -72,19 +72,23 @@ def values_at_ranks(
     ranks: Mapping[str, Rank],
     *,
     few_groups: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group: ``n`` non-null values and the value at each named rank.
 
     Groups with a null key or without values give no row. Without ``keys`` the whole table is
     one group, and an empty table gives no row. ``few_groups`` is for keys whose number the
     caller has proven small (columns of a table, candidate models, tree leaves): their chosen
-    slots are broadcast. Otherwise the engine decides by the size it measures.
+    slots are broadcast. Otherwise the engine decides by the size it measures. A ``weight`` is a
+    long that says how many times its row counts, for values that were counted before.
     """
     keys = list(keys)
     known = " and ".join(f"`{c}` is not null" for c in [*keys, "_value"])
-    rows = frame.select(*keys, F.col(value).alias("_value")).where(known)
+    carried = [] if weight is None else [F.col(weight).alias("_weight")]
+    rows = frame.select(*keys, F.col(value).alias("_value"), *carried).where(known)
     rows = rows.withColumn("_slot", _first_slot(F.col("_value")))
-    sizes = [F.count("*").alias("_rows"), F.min("_value").alias("_low"), F.max("_value").alias("_high")]
+    size = F.count("*") if weight is None else F.sum("_weight")
+    sizes = [size.alias("_rows"), F.min("_value").alias("_low"), F.max("_value").alias("_high")]
     inside = keys
     kept: list[DataFrame] = []
     while True:
@@ -100,8 +104,9 @@ def values_at_ranks(
             F.struct("_low", "_high").alias("_left"), "n", F.col("_before").alias("_start"), "_ranks",
         )
         same = [F.col(c) == F.col(f"_of_{c}") for c in [*inside, "_slot"]]
-        narrowed = rows.select(*inside, "_slot", "_value").join(F.broadcast(still) if few_groups or not keys else still, same)
-        narrowed = narrowed.select(*keys, "_value", F.col("_left").alias("_range"), "n", "_start", "_ranks")
+        held = ["_value", *(["_weight"] if carried else [])]
+        narrowed = rows.select(*inside, "_slot", *held).join(F.broadcast(still) if few_groups or not keys else still, same)
+        narrowed = narrowed.select(*keys, *held, F.col("_left").alias("_range"), "n", "_start", "_ranks")
         # The second and last look at the input; later rounds read the written rows.
         rows = materialize(narrowed, "rank-rows")
         low, high = F.col("_range._low"), F.col("_range._high")
@@ -128,6 +133,7 @@ def exact_percentiles(
     points: Mapping[str, float],
     *,
     few_groups: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, as ``n`` and one double per named point."""
     ranks: dict[str, Rank] = {}
@@ -143,5 +149,5 @@ def exact_percentiles(
             f"if({share} >= 0.5D, {high} - ({high} - {low}) * (1 - {share}), "
             f"{low} + ({high} - {low}) * {share}) as `{name}`"
         )
-    found = values_at_ranks(frame, keys, value, ranks, few_groups=few_groups)
+    found = values_at_ranks(frame, keys, value, ranks, few_groups=few_groups, weight=weight)
     return found.selectExpr(*map(_quoted, keys), "n", *results)

@@ -1,7 +1,7 @@
 """Ordered per-key results computed in two levels.
 
 A window over ``partitionBy(key)`` puts all rows of a key in one task. Here each key is cut
-into buckets that follow the order (days, score bands, value segments): the window runs inside
+into buckets that follow the order (days, ranges between sampled splitters): the window runs inside
 one bucket, and one row per bucket carries the state of the earlier buckets. A key holding a
 third of all rows is then spread over as many tasks as it has buckets.
 
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.functions.clock import HOUR_MICROS, micros
+from opsloom.functions.staging import materialize
 
 _BUCKET = "_bucket"
 
@@ -24,6 +25,22 @@ def time_bucket(ts: str | Column, hours: int = 24) -> Column:
     return F.floor(micros(ts) / F.lit(hours * HOUR_MICROS))
 
 
+# Rows of one range, about.
+RANGE_ROWS = 1 << 20
+
+
+def with_ranges(frame: DataFrame, order: str, out: str = "_range") -> DataFrame:
+    """The rows, written, with the number of the range of ``order`` they lie in.
+
+    Splitters come from the engine's sample of the values, so ranges hold about ``RANGE_ROWS`` rows
+    wherever the values crowd; equal values share a range, and numbers never decrease with the value.
+    """
+    rows = materialize(frame, "range-rows")
+    parts = rows.count() // RANGE_ROWS + 1
+    ranged = rows.repartitionByRange(parts, order) if parts > 1 else rows.coalesce(1)
+    return materialize(ranged.withColumn(out, F.spark_partition_id()), "ranged")
+
+
 def running_totals(
     frame: DataFrame,
     keys: Sequence[str],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,22 +40,24 @@ def median_of(frame: DataFrame, value: str, keys: Sequence[str] = (), out: str =
 
 
 def baseline_medians(train: DataFrame, label: str = "wait_minutes") -> DataFrame:
-    """Medians of all baselines in one job: ``model``, its group columns and ``median``.
+    """Medians of all baselines: ``model``, its group columns and ``median``.
 
-    Every row takes part once per baseline; columns a baseline does not group by are blank.
+    Training rows are counted once per finest group and value; the counts, not the rows, are rolled up
+    to the coarser groups, and all medians are ranks among the counts. Columns a baseline does not
+    group by are blank. Rows with a null in a column are left out of the groups by that column.
     """
     columns = MEDIAN_BASELINES["department_weekday_hour_median"]
-
-    def key(groups: Sequence[str], c: str) -> str:
-        return f"string({c})" if c in groups else "''"
-
-    levels = ", ".join(
-        f"struct('{name}' as model, {', '.join(f'{key(groups, c)} as _{c}' for c in columns)})"
-        for name, groups in MEDIAN_BASELINES.items()
-    )
-    long = train.selectExpr(label, f"inline(array({levels}))")
-    keys = ["model", *[f"_{c}" for c in columns]]
-    return median_of(long, label, keys)
+    counted = train.where(F.col(label).isNotNull()).groupBy(*columns, F.col(label).alias("_label")).agg(F.count("*").alias("_n"))
+    counted = materialize(counted, "value-counts")
+    level, parts = counted, []
+    for name, groups in reversed(MEDIAN_BASELINES.items()):
+        if len(groups) < len(columns):
+            level = level.groupBy(*groups, "_label").agg(F.sum("_n").alias("_n"))
+        keys = [(F.col(c).cast("string") if c in groups else F.lit("")).alias(f"_{c}") for c in columns]
+        parts.append(level.select(F.lit(name).alias("model"), *keys, "_label", "_n"))
+    rolled = reduce(DataFrame.unionByName, parts)
+    medians = exact_percentiles(rolled, ["model", *[f"_{c}" for c in columns]], "_label", {"median": 0.5}, weight="_n")
+    return medians.drop("n")
 
 
 def median_baselines(train: DataFrame, test: DataFrame, label: str = "wait_minutes") -> DataFrame:

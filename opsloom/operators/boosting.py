@@ -440,3 +440,63 @@ def _bases(rows: DataFrame, models: Sequence[BoostedModel]) -> list[float]:
         found = {r.bit: r for r in exact_percentiles(seen, ["bit"], "label", points, few_groups=True).collect()}
     return [float(means[m.bit] if m.quantile is None else found[m.bit][f"q{levels.index(m.quantile)}"]) for m in models]
 
+
+
+def score_by_boxes(frame: DataFrame, boxes: DataFrame, features: Sequence[str], out: str) -> DataFrame:
+    """``frame`` with the prediction of saved leaf boxes as column expressions over plain columns.
+
+    ``features`` names the column of each feature position. A tree is a choice among its leaves, of
+    which exactly one box holds a row; no vector is built and nothing runs in Python. The boxes, a few
+    rows per leaf, come to the driver to be written into the plan.
+    """
+    base, leaves = 0.0, {}
+    for r in boxes.collect():
+        if r.tree < 0:
+            base = r.value
+        else:
+            leaves.setdefault(r.tree, {}).setdefault(r.leaf, []).append(r)
+    total = F.lit(base)
+    for tree in sorted(leaves):
+        choice = None
+        for _, box in sorted(leaves[tree].items()):
+            inside = F.lit(True)
+            for r in sorted(box):
+                column = F.col(f"`{features[r.feature]}`") if r.feature >= 0 else None
+                if r.low is not None:
+                    inside = inside & (column > F.lit(r.low))
+                if r.high is not None:
+                    inside = inside & (column <= F.lit(r.high))
+            value = F.lit(box[0].value)
+            choice = F.when(inside, value) if choice is None else choice.when(inside, value)
+        total = total + choice
+    return frame.withColumn(out, total)
+
+
+def box_contributions(model: HistogramModel, matrix: np.ndarray, weights: Sequence[Sequence[float]]) -> tuple[float, np.ndarray]:
+    """What each feature adds to each row's prediction along its paths; with the expected value they sum to it.
+
+    ``weights`` holds the share of the training rows in every node of every tree. A step from a node to
+    its child adds the change of the expected value to the feature that was cut.
+    """
+    expected = model.base
+    added = np.zeros(matrix.shape)
+    rows = np.arange(len(matrix))
+    for tree, share in zip(model.trees, weights, strict=True):
+        mean = np.array(tree.value, np.float64)
+        for node in reversed(range(len(mean))):
+            if tree.feature[node] >= 0:
+                a, b = tree.left[node], tree.right[node]
+                both = share[a] + share[b]
+                mean[node] = (mean[a] * share[a] + mean[b] * share[b]) / both if both else (mean[a] + mean[b]) / 2
+        expected += mean[0]
+        node = np.zeros(len(matrix), np.int64)
+        feature, cut = np.array(tree.feature), np.array(tree.cut)
+        left, right = np.array(tree.left), np.array(tree.right)
+        going = rows[feature[node] >= 0]
+        while len(going):
+            at = node[going]
+            below = np.where(matrix[going, feature[at]] > cut[at], right[at], left[at])
+            np.add.at(added, (going, feature[at]), mean[below] - mean[at])
+            node[going] = below
+            going = going[feature[below] >= 0]
+    return expected, added

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.functions.ranks import exact_percentiles
-from opsloom.functions.running import running_totals
+from opsloom.functions.running import running_totals, with_ranges
 from opsloom.operators.features import congestion_bucket
 
 
@@ -154,29 +154,25 @@ def safe_ratio(part: Column, total: Column) -> Column:
     return F.when(total > 0, part / total).otherwise(F.lit(0.0))
 
 
-# Number of score bands whose totals carry the running counts from one band to the next.
-SCORE_BANDS = 4096
-
-
 def ranking_metrics(
     frame: DataFrame, actual: str, probability: str, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Step-wise average precision and ROC AUC with average ranks for ties.
 
     Rows combine to one per distinct score first. Counts above a score are running totals over
-    score bands, so neither a popular score nor a long tail of scores ends up in one task.
+    ranges of scores between sampled splitters, so neither a popular score nor a crowd of close
+    scores ends up in one task.
     """
     positive = F.col(actual).cast("int")
     scores = frame.groupBy(*keys, F.col(probability).cast("double").alias("_p")).agg(
         F.sum(positive).cast("long").alias("_pos"), F.count("*").alias("_all")
     )
-    band = F.floor(-F.col("_p") * SCORE_BANDS)
     ranked = running_totals(
-        scores.withColumn("_down", -F.col("_p")),
+        with_ranges(scores.withColumn("_down", -F.col("_p")), "_down"),
         keys,
         ["_down"],
         {"_pos_upto": F.col("_pos"), "_all_upto": F.col("_all")},
-        band,
+        F.col("_range"),
     )
     negatives = F.col("_all") - F.col("_pos")
     above = (F.col("_all_upto") - F.col("_all")) - (F.col("_pos_upto") - F.col("_pos"))

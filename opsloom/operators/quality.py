@@ -98,8 +98,8 @@ def quarantine_rows(tagged: DataFrame, *, table_wide: bool = True) -> DataFrame:
 def quarantine_split(
     frame: DataFrame, contract: TableContract, *, table_wide: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Clean rows and quarantined rows of one table."""
-    tagged = tag_contract(frame, contract)
+    """Clean rows and quarantined rows of one table, whose rules are evaluated once and written."""
+    tagged = materialize(tag_contract(frame, contract), "tagged")
     return clean_rows(tagged), quarantine_rows(tagged, table_wide=table_wide)
 
 
@@ -191,14 +191,12 @@ def validate_dataset(
     stage: bool = True,
     table_wide: bool = True,
 ) -> ValidationResult:
-    """Contract check, quarantine and reference cascade over a whole dataset."""
+    """Contract check, quarantine and reference cascade over a whole dataset; every input row must be accounted for."""
     check_tables(tables, contracts)
     tagged = {name: tag_contract(tables[name], contracts[name]) for name in tables}
     tagged = tag_references(tagged, references, stage=stage)
-    report = quality_report(tagged)
-    if stage:
-        report = materialize(report, "quality-report")
-        check_conservation(report, tables)
+    report = materialize(quality_report(tagged), "quality-report")
+    check_conservation(report, tables)
     return ValidationResult(
         tagged=tagged,
         clean={n: clean_rows(t) for n, t in tagged.items()},

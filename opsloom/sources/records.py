@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping
 
@@ -9,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsloom.errors import DataContractError
+from opsloom.functions.staging import materialize
 from opsloom.operators.contracts import Rule
 from opsloom.operators.quality import ERRORS, tag_rows
+from opsloom.sources.tables import list_names, path_exists
 
 # The kinds of prediction a record may hold.
 PREDICTION_TYPES = ("wait_time", "arrivals", "no_show", "occupancy")
@@ -36,12 +39,32 @@ def tag_predictions(records: DataFrame) -> DataFrame:
     return tag_rows(records.select(*RECORD_COLUMNS), not_null=RECORD_COLUMNS, rules=RECORD_RULES)
 
 
-def append_predictions(records: DataFrame, path: str) -> None:
-    """Append records after the type and payload checks; one bad row rejects the batch."""
-    tagged = tag_predictions(records)
+def append_predictions(records: DataFrame, path: str) -> str:
+    """Append records after the type and payload checks; one bad row rejects the batch.
+
+    A batch is named by a digest of its records' ids and requests, written to a folder of that name,
+    and counts once its marker is there. The same batch again changes nothing, and a batch whose write
+    stopped is written anew. Returns the batch.
+    """
+    tagged = materialize(tag_predictions(records), "prediction-batch")
     if (bad := tagged.where(F.size(ERRORS) > 0).first()) is not None:
         raise DataContractError(f"prediction {bad.request_id}: {'; '.join(bad[ERRORS])}")
-    tagged.drop(ERRORS).write.mode("append").partitionBy("prediction_type").parquet(path)
+    row = F.xxhash64("id", "request_id", "prediction_type")
+    facts = tagged.agg(F.count("*").alias("n"), F.bit_xor(row).alias("x"), F.sum(row.cast("decimal(38,0)")).alias("s"))
+    batch = "b" + hashlib.sha256(repr(tuple(facts.first())).encode()).hexdigest()[:24]
+    folder = f"{path.rstrip('/')}/batch={batch}"
+    if not path_exists(records.sparkSession, f"{folder}/_SUCCESS"):
+        tagged.drop(ERRORS).write.mode("overwrite").partitionBy("prediction_type").parquet(folder)
+    return batch
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all complete batches."""
+    base = path.rstrip("/")
+    names = [n for n in list_names(spark, base) if n.startswith("batch=") and path_exists(spark, f"{base}/{n}/_SUCCESS")]
+    if not names:
+        raise FileNotFoundError(f"no complete batch of predictions in {path}")
+    return spark.read.option("basePath", base).parquet(*(f"{base}/{n}" for n in names)).select(*RECORD_COLUMNS)
 
 
 def recent_predictions(records: DataFrame, limit: int) -> DataFrame:

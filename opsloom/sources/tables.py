@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from pathlib import PurePosixPath
@@ -17,7 +18,7 @@ from opsloom.operators.contracts import CANONICAL_CONTRACTS, TableContract, chec
 from opsloom.operators.quality import ValidationResult
 
 
-def _list_names(spark: SparkSession, directory: str) -> list[str]:
+def list_names(spark: SparkSession, directory: str) -> list[str]:
     """Entry names of a folder on any file system Spark can read."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(directory)
@@ -32,9 +33,15 @@ def path_exists(spark: SparkSession, target: str) -> bool:
     return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path))
 
 
+def create_new(spark: SparkSession, target: str) -> bool:
+    """Create an empty file that does not exist yet; false if someone else was first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(path))
+
+
 def read_table_dir(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """Every ``NAME.parquet`` of a folder as a lazy table."""
-    names = [n for n in _list_names(spark, directory) if n.endswith(".parquet")]
+    names = [n for n in list_names(spark, directory) if n.endswith(".parquet")]
     if not names:
         raise FileNotFoundError(f"no Parquet tables in {directory}")
     return {
@@ -83,7 +90,7 @@ def ingest_extract(
     CSV text is parsed with the contract's types; a field that does not parse becomes null and is
     then a row failure of the not-null rule.
     """
-    entries = {n for n in _list_names(spark, directory)}
+    entries = {n for n in list_names(spark, directory)}
     base = directory.rstrip("/")
     tables: dict[str, DataFrame] = {}
     for name, contract in contracts.items():
@@ -190,8 +197,10 @@ def publish_dataset(
 ) -> str:
     """Write raw CSV, clean Parquet, quarantine Parquet, quality report and manifest.
 
-    Layers go to ``<layer>/<name>/<run_key>``. A dataset that already has a manifest is never
-    overwritten; the manifest is written last, so it marks a complete publication. Returns the
+    Layers go to ``<layer>/<name>/<run_key>/<attempt>``, a folder of this attempt alone. The manifest
+    is written last and names the attempt, and readers go by the manifest, so an attempt that stops
+    leaves nothing visible and can be repeated. A dataset that already has a complete manifest is
+    never overwritten; of two attempts at a time either manifest names a complete one. Returns the
     run key.
     """
     check_tables(inputs, result.clean)
@@ -199,29 +208,44 @@ def publish_dataset(
     spark = first.sparkSession
     run_key = configuration_hash(configuration)[:12]
     root = root.rstrip("/")
-    manifest_path = f"{root}/manifests/{name}-{run_key}"
-    if path_exists(spark, manifest_path):
+    manifest_path = _manifest_path(root, name, run_key)
+    if path_exists(spark, f"{manifest_path}/_SUCCESS"):
         raise FileExistsError(f"dataset already published: {manifest_path}")
+    attempt = uuid.uuid4().hex
     counts = {r.table_name: r for r in result.report.collect()}  # one row per table
     for table, frame in inputs.items():
         frame.write.mode("errorifexists").options(header=True, timestampFormat=CSV_TIME).csv(
-            f"{root}/raw/{name}/{run_key}/{table}.csv"
+            f"{root}/raw/{name}/{run_key}/{attempt}/{table}.csv"
         )
         result.clean[table].write.mode("errorifexists").parquet(
-            f"{root}/bronze/{name}/{run_key}/{table}.parquet"
+            f"{root}/bronze/{name}/{run_key}/{attempt}/{table}.parquet"
         )
         if counts[table].quarantined_rows:
             result.quarantine[table].write.mode("errorifexists").parquet(
-                f"{root}/quarantine/{name}/{run_key}/{table}.parquet"
+                f"{root}/quarantine/{name}/{run_key}/{attempt}/{table}.parquet"
             )
-    result.report.write.mode("errorifexists").json(f"{root}/reports/data_quality/{name}-{run_key}")
+    result.report.write.mode("errorifexists").json(f"{root}/reports/data_quality/{name}-{run_key}/{attempt}")
     manifest = dataset_manifest(
         spark, result.report, configuration, name=name, date_range=date_range
     )
-    manifest.write.mode("errorifexists").json(manifest_path)
+    # Only a manifest whose write stopped can be there; the marker of a complete one comes last of all.
+    manifest.withColumn("attempt", F.lit(attempt)).write.mode("overwrite").json(manifest_path)
     return run_key
 
 
+def _manifest_path(root: str, name: str, run_key: str) -> str:
+    return f"{root.rstrip('/')}/manifests/{name}-{run_key}"
+
+
+def published_folder(spark: SparkSession, root: str, name: str, run_key: str, layer: str) -> str:
+    """The folder of a layer of a published dataset, by its manifest; an error if there is no complete one."""
+    path = _manifest_path(root, name, run_key)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        raise FileNotFoundError(f"dataset is not published: {path}")
+    attempt = spark.read.schema("attempt string").json(path).first().attempt
+    return f"{root.rstrip('/')}/{layer}/{name}/{run_key}/{attempt}"
+
+
 def finite_number(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value) & ~value.isin(float("inf"), float("-inf"))
 

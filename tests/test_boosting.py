@@ -142,3 +142,23 @@ def test_nulls_constant_labels_and_no_rows(spark):
         fit_boosting(encoded.where(F.lit(False)), "y", [BoostedModel("m")], BoostingSettings(rounds=3))
     with pytest.raises(ValueError, match="bins"):
         fit_boosting(encoded, "y", [BoostedModel("m")], BoostingSettings(bins=1))
+
+
+def test_contributions_add_up_and_boxes_score_as_expressions(spark, rows):
+    x, y, _, frame = rows
+    model = fit_boosting(frame, "y", [BoostedModel("m")], BoostingSettings(rounds=4, leaves=5))["m"]
+    shares = []
+    for tree in model.trees:
+        share = np.bincount(tree.place(x, tree.cut), minlength=len(tree.feature)).astype(float) / len(x)
+        for node in reversed(range(len(share))):
+            if tree.feature[node] >= 0:
+                share[node] = share[tree.left[node]] + share[tree.right[node]]
+        shares.append(share)
+    expected, added = boosting.box_contributions(model, x, shares)
+    assert expected == pytest.approx(model.values(x).mean())
+    assert np.allclose(expected + added.sum(axis=1), model.values(x))
+    assert (added[:, 3] == 0).all() and np.abs(added[:, 0]).mean() > 0.1
+    scored = boosting.score_by_boxes(frame, model.table(spark), list("abcd"), "p")
+    assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = scored.select(*"abcd", "p").toPandas()
+    assert np.allclose(got.p, model.values(got[list("abcd")].to_numpy()))

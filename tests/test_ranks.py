@@ -88,6 +88,16 @@ def test_long_numbers(spark):
     assert [row[name] for name in named] == values and row.n == len(values)
 
 
+def test_weighted_values_equal_repeated_ones(skewed, spark):
+    local, frame = skewed
+    counts = frame.groupBy("key", "value").agg(F.count("*").alias("n_rows"))
+    points = {"p10": 0.1, "p50": 0.5, "p97": 0.97}
+    got = exact_percentiles(counts, ["key"], "value", points, weight="n_rows").toPandas().set_index("key")
+    for key, group in local.groupby("key"):
+        assert got.loc[key, "n"] == len(group)
+        assert [got.loc[key, p] for p in points] == pytest.approx([np.quantile(group.value, p) for p in points.values()], abs=1e-9)
+
+
 def test_decimals_and_null_keys(spark):
     frame = spark.sql("select cast(id as decimal(12,2)) / 4 as v, nullif(id % 3, 0) as k from range(300)")
     got = {r.k: (r.n, float(r.a)) for r in values_at_ranks(frame, ["k"], "v", {"a": Rank("n - 1")}).collect()}

@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from opsloom.errors import ConfigurationError, DataContractError, DataQualityError
 from opsloom.functions import staging
-from opsloom.operators.quality import WAIT_REQUEST_RULES, validate_dataset
+from opsloom.operators.quality import ValidationResult, WAIT_REQUEST_RULES, validate_dataset
 from opsloom.plans.baseline_report import baseline_analysis, write_baseline_report
 from opsloom.plans.training import WAIT_FEATURES
 from opsloom.sources import views
-from opsloom.sources.records import append_predictions, recent_predictions
+from opsloom.sources.records import append_predictions, read_predictions, recent_predictions
 from opsloom.sources.tables import (
     configuration_hash,
     dataset_hash,
@@ -17,6 +17,7 @@ from opsloom.sources.tables import (
     ingest_extract,
     load_report,
     publish_dataset,
+    published_folder,
     read_metrics,
     read_table_dir,
     reject_identifiers,
@@ -34,16 +35,38 @@ def test_publication_is_immutable_and_reads_back(spark, sf_dir, tmp_path):
         publish_dataset(tables, result, str(tmp_path), **settings)
     # Another dataset may share the root.
     assert publish_dataset(tables, result, str(tmp_path), name="week", configuration={"seed": 32}, date_range=("a", "b")) != key
-    raw = ingest_extract(spark, f"{tmp_path}/raw/week/{key}")
+    raw = ingest_extract(spark, published_folder(spark, str(tmp_path), "week", key, "raw"))
     assert dataset_hash(raw) == dataset_hash(tables)
-    bronze = read_table_dir(spark, f"{tmp_path}/bronze/week/{key}")
+    bronze = read_table_dir(spark, published_folder(spark, str(tmp_path), "week", key, "bronze"))
     assert set(bronze) == set(tables)
-    quarantine = read_table_dir(spark, f"{tmp_path}/quarantine/week/{key}")
+    quarantine = read_table_dir(spark, published_folder(spark, str(tmp_path), "week", key, "quarantine"))
     assert "encounters" in quarantine and "beds" not in quarantine
     manifest = spark.read.json(f"{tmp_path}/manifests/week-{key}").first()
     assert manifest.run_key == key and manifest.row_counts.beds == tables["beds"].count()
 
 
+def test_a_publication_that_stops_is_not_visible(spark, sf_dir, tmp_path):
+    """It stops between two tables, then between the tables and the marker of the manifest."""
+    tables = views.canonical_dataset(spark, sf_dir)
+    result = validate_dataset(tables)
+    settings = dict(name="week", configuration={"seed": 1}, date_range=("a", "b"))
+    key = configuration_hash({"seed": 1})[:12]
+    broken = dict(result.clean)
+    broken["appointments"] = tables["appointments"].withColumn("status", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        publish_dataset(tables, ValidationResult(result.tagged, broken, result.quarantine, result.report), str(tmp_path), **settings)
+    assert any((tmp_path / "raw/week" / key).iterdir())
+    with pytest.raises(FileNotFoundError):
+        published_folder(spark, str(tmp_path), "week", key, "raw")
+    (tmp_path / "manifests" / f"week-{key}").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError):
+        published_folder(spark, str(tmp_path), "week", key, "raw")
+    assert publish_dataset(tables, result, str(tmp_path), **settings) == key
+    assert len(list((tmp_path / "raw/week" / key).iterdir())) == 2
+    bronze = read_table_dir(spark, published_folder(spark, str(tmp_path), "week", key, "bronze"))
+    assert {n: t.count() for n, t in bronze.items()} == {n: t.count() for n, t in result.clean.items()}
+
+
 def test_extract_checks(spark, tmp_path):
     with pytest.raises(DataContractError, match="lacks"):
         ingest_extract(spark, str(tmp_path))
@@ -110,8 +133,18 @@ def test_prediction_records(spark, tmp_path):
     path = str(tmp_path / "log")
     for i in range(3):
         append_predictions(_record(spark, id=i), path)
-    log = spark.read.parquet(path)
+        assert append_predictions(_record(spark, id=i), path) == append_predictions(_record(spark, id=i), path)
+    log = read_predictions(spark, path)
+    assert log.count() == 3
     assert [r.id for r in recent_predictions(log, 2).collect()] == [2, 1]
+    # A batch without its marker is not there, and is written anew.
+    lost = append_predictions(_record(spark, id=9), path)
+    (tmp_path / "log" / f"batch={lost}" / "_SUCCESS").unlink()
+    assert read_predictions(spark, path).count() == 3
+    append_predictions(_record(spark, id=9), path)
+    assert read_predictions(spark, path).count() == 4
+    with pytest.raises(FileNotFoundError):
+        read_predictions(spark, str(tmp_path / "none"))
     for bad in (dict(prediction_type="weather"), dict(request_payload="[1]"), dict(response_payload="nope")):
         with pytest.raises(DataContractError):
             append_predictions(_record(spark, **bad), path)
