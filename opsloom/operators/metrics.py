@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from opsloom.functions.ranks import exact_percentiles
 from opsloom.functions.running import running_totals, with_ranges
+from opsloom.functions.staging import materialize
 from opsloom.operators.features import congestion_bucket
 
 
@@ -41,9 +42,10 @@ def regression_metrics(
 ) -> DataFrame:
     """MAE, median and p90 absolute error, RMSE and the share of under-predictions.
 
-    ``few_groups`` says that the keys are proven to take few values, such as candidate models.
+    ``few_groups`` says that the keys are proven to take few values, such as candidate models. The
+    errors are written once, so the input is computed once.
     """
-    errors = _errors(frame, keys, actual, predicted)
+    errors = materialize(_errors(frame, keys, actual, predicted), "errors")
     plain = errors.groupBy(*keys).agg(
         F.avg("_absolute").alias("mae"),
         F.sqrt(F.avg(F.col("_error") * F.col("_error"))).alias("rmse"),
@@ -227,8 +229,9 @@ def classification_metrics(
 
 def peak_mae(frame: DataFrame, actual: str, predicted: str, keys: Sequence[str]) -> DataFrame:
     """MAE over the rows whose actual value reaches its own p90 within ``keys``."""
-    peaks = exact_percentiles(frame, keys, actual, {"_peak": 0.9}).select(*keys, "_peak")
-    top = frame.join(peaks, list(keys), "left").where(F.col(actual) >= F.col("_peak"))
+    rows = materialize(frame.select(*keys, actual, predicted), "peak-rows")
+    peaks = exact_percentiles(rows, keys, actual, {"_peak": 0.9}).select(*keys, "_peak")
+    top = rows.join(peaks, list(keys), "left").where(F.col(actual) >= F.col("_peak"))
     error = F.avg(F.abs(F.col(predicted) - F.col(actual)))
     return tidy(top.groupBy(*keys).agg(error.alias("peak_mae")), keys, ["peak_mae"])
 

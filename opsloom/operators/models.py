@@ -407,13 +407,13 @@ def shuffled_importance(model: IntervalModel, frame: DataFrame, order: Sequence[
     """Mean absolute change of the prediction when one feature takes another row's value.
 
     All rows count. They are dealt by a hash of ``order`` to groups of about ``EXCHANGE_ROWS``, and
-    a row takes the values of the row after it in its group, the last those of the first. All
-    features are scored in one pass.
+    a row takes the values of the row after it in the order of another hash, the last those of the
+    first: an unrelated row's at every size of the table. All features are scored in one pass.
     """
     names = list(model.features.columns)
     groups = frame.count() // EXCHANGE_ROWS + 1
     rows = frame.select(*order, *names, F.pmod(F.xxhash64(*order), F.lit(groups)).alias("_group"))
-    ordered = Window.partitionBy("_group").orderBy(*order)
+    ordered = Window.partitionBy("_group").orderBy(F.xxhash64(F.lit(1), *order), *order)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     neighbours = rows.withColumns({
         f"_next_{c}": F.coalesce(F.lead(c).over(ordered), F.first(c).over(whole)) for c in names

@@ -112,11 +112,6 @@ def demand_summary(arrivals: DataFrame) -> DataFrame:
     )
 
 
-def queue_demand_summary(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    arrivals = arrival_target(tables["appointments"], tables["encounters"])
-    return queue_summary(tables["queue_events"]), demand_summary(arrivals)
-
-
 def prediction_counts(records: DataFrame) -> DataFrame:
     return records.groupBy("prediction_type").agg(F.count("*").alias("requests"))
 

@@ -9,6 +9,7 @@ from opsloom.errors import RecommendationConstraintError
 from opsloom.functions.clock import micros, minutes_between
 from opsloom.functions.ranks import exact_percentiles
 from opsloom.functions.running import running_totals, time_bucket
+from opsloom.functions.staging import materialize
 
 BASELINE = "baseline"
 ADDITIONAL_STAFFING = "additional_staffing"
@@ -43,8 +44,11 @@ def max_queue_length(encounters: DataFrame) -> DataFrame:
 def flow_summary(encounters: DataFrame, resources: DataFrame) -> DataFrame:
     """Arrivals, waits, longest queue and doctor utilisation per scenario.
 
-    ``encounters`` rows carry a ``scenario``; ``resources`` holds its ``doctors``.
+    ``encounters`` rows carry a ``scenario``; ``resources`` holds its ``doctors``. The four columns
+    in use are written once and read by every part.
     """
+    columns = ("scenario", "queue_entered_at", "consultation_started_at", "consultation_ended_at")
+    encounters = materialize(encounters.select(*columns), "flow-rows")
     rows = encounters.select(
         "scenario",
         "queue_entered_at",

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from opsloom.errors import DataQualityError, FeatureLeakageError, TrainingDataError
 from opsloom.functions.clock import micros
 from opsloom.functions.ranks import Rank, values_at_ranks
+from opsloom.functions.staging import materialize
 
 SPLITS = ("train", "validation", "test")
 MINIMUM_HISTORY_HOURS = 168
@@ -200,7 +201,8 @@ def first_rows(frame: DataFrame, value: Column, tie: str, share: Callable[[int],
     is sorted as a whole and no large limit passes through one task. Text ids order by their bytes.
     Ids repeated at the cut cannot be told apart and are an error.
     """
-    rows = frame.select(value.alias("_order"), F.col(tie)).where("_order is not null")
+    # Counted and cut several times over: the two columns are written once.
+    rows = materialize(frame.select(value.alias("_order"), F.col(tie)).where("_order is not null"), "cut-rows")
     n = rows.count()
     k = min(share(n), n)
     if k <= 0:
