@@ -15,7 +15,7 @@ written with the rows every few rounds, so a pass walks only the trees since the
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -500,3 +500,54 @@ def box_contributions(model: HistogramModel, matrix: np.ndarray, weights: Sequen
             node[going] = below
             going = going[feature[below] >= 0]
     return expected, added
+
+
+def _summed(frame: DataFrame, features: str, size: int, add: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, int]:
+    """Sum of ``add`` over all batches of the feature vectors, and the number of rows."""
+    ship(frame.sparkSession)
+    vectors = frame.select(vector_to_array(F.col(features)).alias("vector"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(size), 0
+        for batch in batches:
+            total += add(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1))
+            rows += batch.num_rows
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tolist()], pa.list_(pa.float64())), "rows": [rows]})
+
+    parts = vectors.mapInArrow(run, "sums array<double>, rows long")
+    by_place = parts.select(F.posexplode("sums").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect()
+    totals = np.zeros(size)
+    for r in by_place:
+        totals[r["at"]] = r.x
+    return totals, parts.agg(F.sum("rows")).first()[0] or 0
+
+
+def path_importance(
+    model: HistogramModel, fitted: DataFrame, scored: DataFrame, names: Sequence[str], *, features: str = "features"
+) -> DataFrame:
+    """``feature, importance``: the mean absolute contribution along the paths of ``scored`` rows.
+
+    The expected values of the nodes are weighted by the rows of ``fitted`` in them. Both tables are
+    read in Arrow batches whose sums, a number per node or feature, are added up by the engine.
+    """
+    bounds = np.cumsum([0, *(len(t.feature) for t in model.trees)])
+
+    def nodes(matrix: np.ndarray) -> np.ndarray:
+        total = np.zeros(bounds[-1])
+        for start, tree in zip(bounds, model.trees, strict=False):
+            share = np.bincount(tree.place(matrix, tree.cut), minlength=len(tree.feature))
+            total[start : start + len(share)] += share
+        return total
+
+    counts, _ = _summed(materialize(fitted.select(features), "importance-fitted"), features, int(bounds[-1]), nodes)
+    weights = []
+    for start, tree in zip(bounds, model.trees, strict=False):
+        share = counts[start : start + len(tree.feature)].copy()
+        for node in reversed(range(len(share))):
+            if tree.feature[node] >= 0:
+                share[node] = share[tree.left[node]] + share[tree.right[node]]
+        weights.append(share)
+    rows = materialize(scored.select(features), "importance-scored")
+    sums, n = _summed(rows, features, len(names), lambda matrix: np.abs(box_contributions(model, matrix, weights)[1]).sum(axis=0))
+    listed = [(name, float(x) / max(n, 1)) for name, x in zip(names, sums, strict=True)]
+    return fitted.sparkSession.createDataFrame(listed, "feature string, importance double")

@@ -19,6 +19,7 @@ from opsloom.operators.baselines import (
     median_of,
     within_horizons,
 )
+from opsloom.operators.boosting import path_importance
 from opsloom.operators.features import (
     NO_SHOW_CATEGORICAL,
     NO_SHOW_NUMERIC,
@@ -177,6 +178,9 @@ def train_wait_time(
     if selected == "ridge":
         names = feature_names(final_encoder, WAIT_FEATURES)
         importance = linear_importance(encode(final_encoder, parts.test), point.coefficients, names)
+    elif selected == "gradient_boosting":
+        names = feature_names(final_encoder, WAIT_FEATURES)
+        importance = path_importance(point, development, encode(final_encoder, parts.test), names)
     else:
         importance = shuffled_importance(model, parts.test, ["queue_entered_at", "encounter_id"])
     return WaitTraining(

@@ -158,6 +158,8 @@ def test_contributions_add_up_and_boxes_score_as_expressions(spark, rows):
     assert expected == pytest.approx(model.values(x).mean())
     assert np.allclose(expected + added.sum(axis=1), model.values(x))
     assert (added[:, 3] == 0).all() and np.abs(added[:, 0]).mean() > 0.1
+    listed = {r.feature: r.importance for r in boosting.path_importance(model, frame, frame, list("abcd")).collect()}
+    assert [listed[c] for c in "abcd"] == pytest.approx(np.abs(added).mean(axis=0))
     scored = boosting.score_by_boxes(frame, model.table(spark), list("abcd"), "p")
     assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
     got = scored.select(*"abcd", "p").toPandas()
