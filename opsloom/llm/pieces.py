@@ -45,9 +45,12 @@ CHUNK = 1 << 15
 # Words a worker remembers, and characters of unknown words solved together.
 REMEMBERED, SOLVED_CHARACTERS = 1 << 18, 1 << 16
 NEVER = -(1 << 60)
-# Merges of words up to this many characters are looked for in a list, of longer ones in a heap.
-LISTED_CHARACTERS = 64
+# Merges of words up to this many characters are looked for in a list, of longer ones in a heap; where
+# at least TOGETHER words of one length are new, they are merged together, a merge of each at a time.
+LISTED_CHARACTERS, TOGETHER = 64, 16
 _SLOT_BITS = 20
+# Bits of the number of a part in a pair or a merge; no merge is worse than all.
+_PART_BITS, _NO_MERGE = 31, (1 << 62) - 1
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, bytes | int]]:
@@ -377,6 +380,33 @@ class MergeVocabulary(Vocabulary):
         pairs = {(ord(a) << 21) | ord(b) for p in self.ids for a, b in zip(p, p[1:])}
         self._pairs = np.array(sorted(pairs), np.int64)
         self._known_characters = np.array(sorted(ord(p) for p in self.ids if len(p) == 1), np.int64)
+        self._number_merges()
+
+    def _number_merges(self) -> None:
+        """Numbers for all parts that merges can meet, and a sorted table of the merges between them.
+
+        Part 0 is every character that no piece holds. A merge is its rank, best first, above the
+        number of the merged part; equal scores share a rank.
+        """
+        parts = ["", *sorted({c for p in self.ids for c in p}.union(self.ids))]
+        number = {p: i for i, p in enumerate(parts)}
+        self._part_ids = np.array([self.ids.get(p, -1) for p in parts], np.int32)
+        self._part_lengths = np.array([max(1, len(p)) for p in parts], np.int64)
+        self._character_parts = np.zeros(0x110000, np.int32)
+        for p in parts[1:]:
+            if len(p) == 1:
+                self._character_parts[ord(p)] = number[p]
+        ranks = {score: rank for rank, score in enumerate(sorted(set(self._ranks.values()), reverse=True))}
+        self._ties = len(ranks) < len(self._ranks)
+        merges = {
+            (number[p[:k]] << _PART_BITS) | number[p[k:]]: (ranks[score] << _PART_BITS) | number[p]
+            for p, score in self._ranks.items()
+            for k in range(1, len(p))
+            if p[:k] in number and p[k:] in number
+        }
+        # The last entry is found for pairs beyond all others.
+        self._merge_pairs = np.array([*sorted(merges), -1], np.int64)
+        self._merges = np.array([*(merges[pair] for pair in sorted(merges)), _NO_MERGE], np.int64)
 
     def _index(self, pieces: list[str], ids: list[int]) -> None:
         """Merges look pieces up whole, so beginnings need no table."""
@@ -407,8 +437,15 @@ class MergeVocabulary(Vocabulary):
         if len(coded) + len(missing) > REMEMBERED:
             coded.clear()
             missing = set().union(*lists)
+        lengths: dict[int, list[str]] = {}
         for word in missing:
-            coded[word] = self._code(word)
+            lengths.setdefault(len(word), []).append(word)
+        for length, alike in lengths.items():
+            if 1 < length <= LISTED_CHARACTERS and len(alike) >= TOGETHER:
+                self._code_together(alike, length)
+            else:
+                for word in alike:
+                    coded[word] = self._code(word)
         return [b"".join(map(coded.__getitem__, words)) for words in lists]
 
     def _code(self, word: str) -> bytes:
@@ -419,6 +456,49 @@ class MergeVocabulary(Vocabulary):
         lengths = np.array([len(p) for p in parts])
         return self._with_bytes(np.array(ids, np.int32), np.cumsum(lengths) - lengths, word).tobytes()
 
+    def _merge_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pairs = (left.astype(np.int64) << _PART_BITS) | right
+        found = np.searchsorted(self._merge_pairs[:-1], pairs)
+        return np.where(self._merge_pairs[found] == pairs, self._merges[found], _NO_MERGE)
+
+    def _code_together(self, words: list[str], length: int) -> None:
+        """Codes words of one length: in each round every word makes its best merge, so all keep one length."""
+        text = "".join(words).encode("utf-32-le", "surrogatepass")
+        parts = self._character_parts[np.frombuffer(text, np.uint32)].reshape(len(words), length)
+        merges = self._merge_of(parts[:, :-1], parts[:, 1:])
+        names = np.arange(len(words))
+        while len(names):
+            # The leftmost of equal scores.
+            at = (merges >> _PART_BITS if self._ties else merges).argmin(axis=1) if merges.shape[1] else None
+            best = merges[np.arange(len(names)), at] if at is not None else np.full(len(names), _NO_MERGE)
+            done = best == _NO_MERGE
+            if done.any():
+                self._keep_codes([words[n] for n in names[done].tolist()], parts[done])
+                going = ~done
+                names, parts, merges, best = names[going], parts[going], merges[going], best[going]
+                at = at[going] if at is not None else None
+                if not len(names):
+                    break
+            row, width = np.arange(len(names)), parts.shape[1] - 1
+            kept = np.ones(parts.shape, bool)
+            kept[row, at + 1] = False
+            parts = parts[kept].reshape(len(names), width)
+            parts[row, at] = best & ((1 << _PART_BITS) - 1)
+            kept = np.ones(merges.shape, bool)
+            kept[row, at] = False
+            merges = merges[kept].reshape(len(names), width - 1)
+            before, after = np.flatnonzero(at > 0), np.flatnonzero(at < width - 1)
+            merges[before, at[before] - 1] = self._merge_of(parts[before, at[before] - 1], parts[before, at[before]])
+            merges[after, at[after]] = self._merge_of(parts[after, at[after]], parts[after, at[after] + 1])
+
+    def _keep_codes(self, words: list[str], parts: np.ndarray) -> None:
+        ids = self._part_ids[parts]
+        raw, size = ids.tobytes(), 4 * parts.shape[1]
+        self._coded.update(zip(words, (raw[i : i + size] for i in range(0, len(raw), size))))
+        for i in np.flatnonzero((ids < 0).any(axis=1)).tolist():
+            lengths = self._part_lengths[parts[i]]
+            self._coded[words[i]] = self._with_bytes(ids[i], np.cumsum(lengths) - lengths, words[i]).tobytes()
+
     def _listed(self, word: str) -> list[str]:
         parts, rank = list(word), self._ranks.get
         scores = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
