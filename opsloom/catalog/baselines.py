@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.catalog.features import hospital_tables, waiting_rows
+from opsloom.catalog.features import LEAKAGE_SQL, hospital_tables, waiting_rows
 from opsloom.catalog.registry import query, r6, rounded, sql, stamp
 from opsloom.catalog.targets import arrivals, occupancy
 from opsloom.functions.staging import materialize
@@ -24,7 +24,7 @@ from opsloom.operators.baselines import (
 )
 from opsloom.operators.metrics import regression_metrics
 from opsloom.operators.splits import TemporalSplit, rolling_origin_windows, temporal_split
-from opsloom.plans.baseline_report import baseline_analysis
+from opsloom.plans.baseline_report import baseline_analysis, report_rows
 
 
 def wait_split(spark: SparkSession, sf_dir: str) -> TemporalSplit:
@@ -242,6 +242,99 @@ def baseline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(report.metrics)
 
 
+def _cells_sql(part: str, source: str, item: str, fields: dict[str, str]) -> str:
+    """The cells of one result table: ``fields`` gives the expression of each number."""
+    names = ", ".join(f"'{f}'" for f in fields)
+    values = ", ".join(f"round(CAST({v} AS DOUBLE), 6) + 0.0" for v in fields.values())
+    return f"""SELECT '{part}' AS part, {item} AS item, unnest([{names}]) AS field, unnest([{values}]) AS value,
+                      CAST(NULL AS VARCHAR) AS instant FROM {source}"""
+
+
+def _boundary_cells_sql(target: str, view: str, time: str) -> str:
+    item = f"'{target}/' || split"
+    group = f"FROM {view} GROUP BY split"
+    times = "\nUNION ALL ".join(
+        f"SELECT 'split_boundaries', {item}, '{field}', NULL, {stamp(f'{f}({time})', 'instant')} {group}"
+        for field, f in (("first_time", "min"), ("last_time", "max"))
+    )
+    return _cells_sql("split_boundaries", f"{view} GROUP BY split", item, {"rows": "count(*)"}) + "\nUNION ALL " + times
+
+
+_PROFILED = {
+    "appointments": (
+        "appointment_id patient_key hospital_id department_id doctor_id event_time recorded_time ingested_time "
+        "booking_created_at scheduled_at appointment_type priority_type reminder_sent status"
+    ).split(),
+    "encounters": (
+        "encounter_id appointment_id department_id event_time recorded_time ingested_time queue_entered_at "
+        "consultation_started_at consultation_ended_at checkout_at"
+    ).split(),
+    "queue_events": (
+        "queue_event_id encounter_id department_id event_time recorded_time ingested_time queue_length "
+        "available_doctors available_rooms"
+    ).split(),
+}
+
+
+def _profile_cells_sql() -> str:
+    parts = []
+    for table, columns in _PROFILED.items():
+        kinds = f"(SELECT count(*) FROM (SELECT DISTINCT * FROM {table}_rows))"
+        whole = {"rows": "count(*)", "columns": f"count(*) * 0 + {len(columns)}", "duplicate_rows": f"count(*) - {kinds}"}
+        cells = {f"{table}/{m}": v for m, v in whole.items()}
+        cells.update({f"{table}/{c}/null_rate": f"avg(({c} IS NULL)::INTEGER)" for c in columns})
+        for item, value in cells.items():
+            parts.append(_cells_sql("eda_profile", f"{table}_rows", f"'{item}'", {"value": value}))
+        for c in columns:
+            for f in ("minimum", "maximum") if c.endswith(("_at", "_time")) else ():
+                at = stamp(f"{f[:3]}({c})", "instant")
+                parts.append(f"SELECT 'eda_profile', '{table}/{c}/{f}', 'instant', NULL, {at} FROM {table}_rows")
+    return "\nUNION ALL ".join(parts)
+
+
+_RECORDED = "event_time + to_minutes(1) AS recorded_time, event_time + to_minutes(2) AS ingested_time"
+_REPORT_PARTS = [
+    f"SELECT 'baseline_metrics' AS part, 'waiting_time/' || model || '/' || metric AS item, 'value' AS field, value, NULL AS instant FROM ({WAIT_REPORT_SQL})",
+    f"SELECT 'baseline_metrics', 'arrivals/' || model || '/' || metric, 'value', value, NULL FROM ({SERIES_REPORT_SQL})",
+    _boundary_cells_sql("waiting_time", "wait_split", "queue_entered_at"),
+    _boundary_cells_sql("arrivals", "arrival_split", "interval_start"),
+    _cells_sql("leakage_checks", f"({LEAKAGE_SQL})", "check_name", {"passed": "passed::INTEGER"}),
+    _profile_cells_sql(),
+    _cells_sql("eda_queue", "queue_events GROUP BY department_id", "department_id", {
+        "events": "count(*)",
+        "average_queue": "avg(queue_length)",
+        "p95_queue": "quantile_cont(queue_length, 0.95)",
+        "average_doctors": "avg(available_doctors)",
+    }),
+    _cells_sql("eda_demand", "arrivals GROUP BY department_id", "department_id", {
+        "average_hourly_arrivals": "avg(arrivals)",
+        "p95_hourly_arrivals": "quantile_cont(arrivals, 0.95)",
+        "peak_hourly_arrivals": "max(arrivals)",
+    }),
+]
+
+
+@query(
+    "baseline_report_tables",
+    sql(
+        "SELECT * FROM (" + "\nUNION ALL ".join(_REPORT_PARTS) + ") WHERE value IS NOT NULL OR instant IS NOT NULL",
+        "appointments",
+        "queue_events",
+        "wait_split",
+        "arrival_split",
+        medians=MEDIANS_SQL,
+        predicted=SERIES_SQL,
+        appointments_rows="SELECT * FROM appointments",
+        encounters_rows=f"SELECT *, {_RECORDED} FROM (SELECT *, queue_entered_at AS event_time FROM encounters)",
+        queue_events_rows=f"""SELECT *, {_RECORDED} FROM (SELECT q.*, entered AS event_time FROM queue_events q
+                              JOIN visits ON encounter_id = CAST(event_id AS VARCHAR))""",
+    ),
+)
+def whole_baseline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All result tables of the baseline analysis: metrics, boundaries, checks, profile, queues, demand."""
+    return rounded(report_rows(baseline_analysis(hospital_tables(spark, sf_dir))))
+
+
 def _windows_sql(view: str) -> dict[str, str]:
     return {
         "origins": f"""SELECT w AS window_id, t[24 * w + 1] AS cutoff FROM (

@@ -248,19 +248,15 @@ def _ordered_sql(view: str, time: str) -> str:
     return f"{train} AND {at('max', 'validation')} < {at('min', 'test')}"
 
 
-@query(
-    "leakage_checks",
-    sql(
-        f"""SELECT 'waiting_split_order' AS check_name, {_ordered_sql("wait_split", "queue_entered_at")} AS passed
+LEAKAGE_SQL = f"""SELECT 'waiting_split_order' AS check_name, {_ordered_sql("wait_split", "queue_entered_at")} AS passed
             UNION ALL SELECT 'arrival_split_order', {_ordered_sql("arrival_split", "interval_start")}
             UNION ALL SELECT 'waiting_features_exclude_future_events', true
             UNION ALL SELECT 'forecast_fit_precedes_test',
               (SELECT max(interval_start) FROM arrival_split WHERE split = 'train')
-              < (SELECT min(interval_start) FROM arrival_split WHERE split = 'test')""",
-        "wait_split",
-        "arrival_split",
-    ),
-)
+              < (SELECT min(interval_start) FROM arrival_split WHERE split = 'test')"""
+
+
+@query("leakage_checks", sql(LEAKAGE_SQL, "wait_split", "arrival_split"))
 def leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     waits = temporal_split(waiting_rows(spark, sf_dir), "queue_entered_at")
     series = temporal_split(arrivals(spark, sf_dir), "interval_start")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.errors import DataQualityError
@@ -19,6 +19,17 @@ def assert_unique(frame: DataFrame, key: Sequence[str], side: str) -> None:
         raise DataQualityError(f"{side} side repeats its key {list(key)}")
 
 
+def with_unique_keys(frame: DataFrame, key: Sequence[str], side: str) -> DataFrame:
+    """``frame``, whose reading stops when ``key`` repeats; a null key counts as a key."""
+    copy = "_copy"
+    while copy in frame.columns:
+        copy += "_"
+    names = [F.col(f"`{k}`") for k in key]
+    refused = F.raise_error(F.lit(f"{side} side repeats its key {list(key)}")).cast("boolean")
+    numbered = frame.withColumn(copy, F.row_number().over(Window.partitionBy(*names).orderBy(*names)))
+    return numbered.where(F.when(F.col(copy) > 1, refused).otherwise(True)).drop(copy)
+
+
 def checked_join(
     left: DataFrame,
     right: DataFrame,
@@ -27,14 +38,23 @@ def checked_join(
     how: str = "inner",
     cardinality: str = "many_to_one",
     verify: bool = True,
+    in_plan: bool = False,
 ) -> DataFrame:
     """Equi-join that refuses an undeclared multiplicity.
 
-    ``verify=False`` skips the key scan where a contract has already proven the keys unique.
+    By default the keys are counted first, and ``DataQualityError`` is raised here. With ``in_plan``
+    the proof of a one-to-one join rides on the join's own exchange, one per side: copies are numbered
+    on its sorted keys, and a second one stops the job that reads the result. Many-to-one joins have no
+    such form, since the adaptive split of a hot left key needs the exchange right below the join.
+    ``verify=False`` skips the proof where a contract has already proven the keys unique.
     """
     if cardinality not in {"one_to_one", "many_to_one"}:
         raise ValueError(f"unknown cardinality {cardinality!r}")
-    if verify:
+    if in_plan and cardinality != "one_to_one":
+        raise ValueError("only a one-to-one join is proven in its plan")
+    if verify and in_plan:
+        left, right = with_unique_keys(left, on, "left"), with_unique_keys(right, on, "right")
+    elif verify:
         assert_unique(right, on, "right")
         if cardinality == "one_to_one":
             assert_unique(left, on, "left")

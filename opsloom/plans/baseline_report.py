@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,15 +87,44 @@ def baseline_analysis(
     )
 
 
+def report_tables(report: BaselineReport) -> dict[str, tuple[DataFrame, tuple[str, ...]]]:
+    """The six result tables of the analysis with their keys."""
+    return {
+        "baseline_metrics": (report.metrics, ("target", "model", "metric")),
+        "split_boundaries": (report.boundaries, ("target", "split")),
+        "leakage_checks": (report.checks, ("check_name",)),
+        "eda_profile": (report.profile, ("table_name", "column_name", "measure")),
+        "eda_queue": (report.queues, ("department_id",)),
+        "eda_demand": (report.demand, ("department_id",)),
+    }
+
+
+def report_rows(report: BaselineReport) -> DataFrame:
+    """All six tables as ``part, item, field, value, instant`` rows, one per filled cell.
+
+    ``item`` joins the keys of a row; numbers and flags fill ``value``, times ``instant``.
+    """
+    parts = []
+    for part, (frame, keys) in report_tables(report).items():
+        cells = []
+        for f in frame.schema.fields:
+            if f.name in keys:
+                continue
+            timed = f.dataType.typeName() == "timestamp"
+            value = F.lit(None) if timed else F.col(f.name)
+            instant = F.col(f.name) if timed else F.lit(None)
+            cells.append(F.struct(
+                F.lit(f.name).alias("field"),
+                value.cast("double").alias("value"),
+                instant.cast("timestamp").alias("instant"),
+            ))
+        item = F.concat_ws("/", *keys).alias("item")
+        rows = frame.select(F.lit(part).alias("part"), item, F.inline(F.array(*cells)))
+        parts.append(rows.where("value is not null or instant is not null"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def write_baseline_report(report: BaselineReport, output: str) -> None:
     """Metrics, exploratory tables and leakage checks as JSON folders."""
-    parts = {
-        "baseline_metrics": report.metrics,
-        "split_boundaries": report.boundaries,
-        "leakage_checks": report.checks,
-        "eda_profile": report.profile,
-        "eda_queue": report.queues,
-        "eda_demand": report.demand,
-    }
-    for name, frame in parts.items():
+    for name, (frame, _) in report_tables(report).items():
         frame.write.mode("overwrite").json(f"{output.rstrip('/')}/{name}")

@@ -114,6 +114,28 @@ def test_checked_join_rejects_repeated_keys(spark):
         checked_join(right, left, ["k"])
 
 
+def test_one_to_one_join_proven_in_its_plan(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, _copy string")
+    right = spark.createDataFrame([(1, "x"), (3, "y"), (None, "z")], "k int, v string")
+    joined = checked_join(left, right, ["k"], how="left", cardinality="one_to_one", in_plan=True)
+    assert sorted(joined.collect(), key=str) == sorted([(1, "a", "x"), (2, "b", None), (None, "c", None)], key=str)
+    for one, two, side in ((left.union(left), right, "left"), (left, right.union(right), "right")):
+        twice = checked_join(one, two, ["k"], cardinality="one_to_one", in_plan=True)
+        with pytest.raises(Exception, match=f"{side} side repeats its key"):
+            twice.select("v").collect()
+    with pytest.raises(ValueError, match="one-to-one"):
+        checked_join(left, right, ["k"], in_plan=True)
+
+
+def test_exchanges_of_a_join_proven_in_its_plan(spark, tmp_path):
+    for name in ("left", "right"):
+        spark.range(50).selectExpr("id as k", f"id as {name}").write.parquet(str(tmp_path / name))
+    left, right = (spark.read.parquet(str(tmp_path / name)) for name in ("left", "right"))
+    joined = checked_join(left, right, ["k"], cardinality="one_to_one", in_plan=True)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and joined.count() == 50
+
+
 def test_anomalous_encounter_reason(spark):
     contract = CANONICAL_CONTRACTS["encounters"]
     start = T0 - timedelta(minutes=5)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from opsloom.errors import ConfigurationError, DataContractError, DataQualityError
 from opsloom.functions import staging
 from opsloom.operators.quality import ValidationResult, WAIT_REQUEST_RULES, validate_dataset
-from opsloom.plans.baseline_report import baseline_analysis, write_baseline_report
+from opsloom.plans.baseline_report import baseline_analysis, report_rows, write_baseline_report
 from opsloom.plans.training import WAIT_FEATURES
 from opsloom.sources import views
 from opsloom.sources.records import append_predictions, read_predictions, recent_predictions
@@ -179,6 +179,12 @@ def test_baseline_report_files(spark, sf_dir, tmp_path):
     assert report.checks.where("not passed").count() == 0 and report.checks.count() == 4
     write_baseline_report(report, str(tmp_path))
     assert {p.name for p in tmp_path.iterdir()} >= {"baseline_metrics", "eda_profile", "leakage_checks"}
+    rows = report_rows(report)
+    parts = {r.part: r["count"] for r in rows.groupBy("part").count().collect()}
+    assert set(parts) == {p.name for p in tmp_path.iterdir()} and parts["leakage_checks"] == 4
+    counted = rows.where("part = 'eda_profile' and item = 'appointments/rows'").first()
+    assert counted.value == tables["appointments"].count() and counted.instant is None
+    assert rows.where("field in ('first_time', 'last_time') and instant is null").isEmpty()
 
 
 def test_stream_scores_valid_rows_once(spark, tmp_path):
