@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,9 @@ STATISTICS = (
 # Labelled texts the trees are fitted on, at most. The fit needs no more, whatever the corpus.
 MAX_FIT_ROWS = 20_000
 
+# Bytes of text measured at once, about.
+PART_BYTES = 1 << 18
+
 
 def _table(characters: str) -> np.ndarray:
     inside = np.zeros(256, bool)
@@ -65,7 +69,16 @@ def _distinct(values: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndar
 
 
 def statistics(column: pa.Array) -> np.ndarray:
-    """One row of ``STATISTICS`` per text; null counts as empty, and an empty text has all zeros."""
+    """One row of ``STATISTICS`` per text; null counts as empty, and an empty text has all zeros.
+
+    Texts of about ``PART_BYTES`` are measured at once, since the working arrays take many times their bytes.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // PART_BYTES)) + 1).tolist(), len(column)]
+    return np.concatenate([_measured(column.slice(a, b - a)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+
+
+def _measured(column: pa.Array) -> np.ndarray:
     data, offsets = text_bytes(column)
     rows = len(offsets) - 1
     n = np.diff(offsets).astype(np.float64)
