@@ -224,11 +224,11 @@ REPORT_SQL = sql(
 
 @query("validation_report", REPORT_SQL)
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_dataset(views.canonical_dataset(spark, sf_dir, anomalies=True)).report
+    return validate_dataset(views.canonical_dataset(spark, sf_dir, anomalies=True, stage=True)).report
 
 
 def _publish(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    tables = views.canonical_dataset(spark, sf_dir, anomalies=True)
+    tables = views.canonical_dataset(spark, sf_dir, anomalies=True, stage=True)
     root = new_path(spark, "publication")
     key = publish_dataset(
         tables,
@@ -263,7 +263,7 @@ def published_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "input_rows - coalesce(lost, 0) AS row_count, coalesce(lost, 0) AS anomaly_count"),
 )
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = views.canonical_dataset(spark, sf_dir, anomalies=True)
+    tables = views.canonical_dataset(spark, sf_dir, anomalies=True, stage=True)
     row = dataset_manifest(
         spark,
         validate_dataset(tables).report,
